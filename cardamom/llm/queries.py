@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardamom.llm._common import documents
 from cardamom.llm.license_scan import license_scan
+from cardamom.llm.mixing import mix
+from cardamom.llm.packing import pack
 from cardamom.llm.quality_rules import quality_rules
 
 QUERIES: dict = {}
@@ -26,3 +29,16 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
