@@ -10,6 +10,7 @@ from cardamom.llm.license_scan import license_scan
 from cardamom.llm.mixing import mix
 from cardamom.llm.packing import pack
 from cardamom.llm.quality_rules import quality_rules
+from cardamom.llm.simhash import simhash_groups
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +43,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir))
