@@ -11,6 +11,7 @@ from cardamom.llm.mixing import mix
 from cardamom.llm.packing import pack
 from cardamom.llm.quality_rules import quality_rules
 from cardamom.llm.simhash import simhash_groups
+from cardamom.llm.topk_search import topk_search
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +28,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk_search(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
