@@ -15,7 +15,9 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,15 +26,26 @@ from cardamom.llm._common import Staged
 
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary, open boolean"
 ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()), ("open", pa.bool_())])
+LETTER_MARK = r"([a-zß-öø-ÿ])([!-/:-@\[-`{-~])"
 #: Entries of a worker's memory of encoded words; beyond that it starts anew.
-MEMORY = 400_000
+MEMORY = 800_000
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """A worker's encoder; it keeps its memory from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 class WordEncoder:
     """Encodes texts word by word, with a bounded memory of words already encoded.
 
-    The tokenizer never joins what a space or line feed separates, so the ids of
-    a text are those of its space-separated parts, one after another."""
+    The tokenizer never joins what a space or line feed separates, nor a Latin letter with
+    a mark after it, and lowers A-Z; so the ids of a text are those of its lowered
+    parts, one after another. Only texts that may hold a special token ("<|") are
+    cut at spaces alone."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -42,20 +55,41 @@ class WordEncoder:
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.seen: dict[str, bytes] = {}
 
-    def __call__(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit numbers."""
-        parts = text.replace("\n", " ").split(" ")
-        seen = self.seen
-        try:
-            return b"".join(map(seen.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(seen) > MEMORY:
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all the texts, one after another, and where each text's begin (and the last ends)."""
+        spaced = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        if not pc.any(pc.match_substring(spaced, "<|")).as_py():
+            spaced = pc.replace_substring_regex(pc.ascii_lower(spaced), pattern=LETTER_MARK, replacement=r"\1 \2")
+        parts = pc.split_pattern(spaced, " ")
+        coded = parts.flatten().dictionary_encode()
+        words, seen = coded.dictionary.to_pylist(), self.seen
+        new = [x for x in words if x not in seen]
+        if len(seen) + len(new) > MEMORY:
             seen.clear()
-        new = list({x for x in parts if x not in seen})
+            new = words
         for x, e in zip(new, self.batch(new, add_special_tokens=False), strict=True):
-            seen[x] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        return b"".join(map(seen.__getitem__, parts))
+            seen[x] = np.array(e.ids, "<u4").tobytes()
+        each = [seen[x] for x in words]
+        table = np.frombuffer(b"".join(each), "<u4")
+        length = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        start = np.cumsum(length) - length
+        at = coded.indices.to_numpy()
+        n = length[at]
+        end = np.cumsum(n)
+        ids = table[np.repeat(start[at] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        bounds = parts.offsets.to_numpy()
+        return ids, np.concatenate(([0], end))[bounds - bounds[0]]
+
+
+def chunks(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts have up to ``most`` bytes, or one row that has more."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, before + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 class Packer:
@@ -149,11 +183,12 @@ def pack(df: DataFrame, tokenizer: str, *, length: int = 2048, open_windows: int
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(tokenizer)
+        encode = encoder(tokenizer)
         packer = Packer(length, open_windows, TaskContext.get().partitionId() << 32)
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                packer.add(doc_id, encode(text.as_py() or "") + end)
+        for batch in (x for whole in batches for x in chunks(whole, 1)):
+            ids, at = encode(batch.column(1))
+            for k, doc_id in enumerate(batch.column(0).to_pylist()):
+                packer.add(doc_id, ids[at[k] : at[k + 1]].tobytes() + end)
                 if len(packer.out) >= 1000:
                     yield _batch(packer.out)
                     packer.out = []
