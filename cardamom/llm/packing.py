@@ -44,8 +44,8 @@ class WordEncoder:
 
     The tokenizer never joins what a space or line feed separates, nor a Latin letter with
     a mark after it, and lowers A-Z; so the ids of a text are those of its lowered
-    parts, one after another. Only texts that may hold a special token ("<|") are
-    cut at spaces alone."""
+    parts, one after another. Only where texts hold "<|", which may begin
+    a special token, or combining marks are they cut at spaces alone."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -58,7 +58,7 @@ class WordEncoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all the texts, one after another, and where each text's begin (and the last ends)."""
         spaced = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
-        if not pc.any(pc.match_substring(spaced, "<|")).as_py():
+        if not pc.any(pc.match_substring_regex(spaced, r"<\||\p{M}")).as_py():
             spaced = pc.replace_substring_regex(pc.ascii_lower(spaced), pattern=LETTER_MARK, replacement=r"\1 \2")
         parts = pc.split_pattern(spaced, " ")
         coded = parts.flatten().dictionary_encode()
