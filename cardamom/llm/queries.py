@@ -9,6 +9,7 @@ from cardamom.llm._common import documents
 from cardamom.llm.license_scan import license_scan
 from cardamom.llm.mixing import mix
 from cardamom.llm.packing import pack
+from cardamom.llm.pii import KINDS, find_pii, span_text
 from cardamom.llm.quality_rules import quality_rules
 from cardamom.llm.simhash import simhash_groups
 from cardamom.llm.topk_search import topk_search
@@ -47,6 +48,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.sha2(span_text(F.col("base_spans")), 256).alias("base_sha256")
+    return found.select("doc_id", *[count(k) for k in KINDS], base, span_text(F.concat("base_spans", "added_spans")).alias("spans"))
+
+
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
