@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +60,17 @@ class Staged:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once for each application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cardamom_sent", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="cardamom-code-")) / "cardamom_package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    sc.addPyFile(str(target))
+    sc._cardamom_sent = True

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import documents
+from cardamom.llm._common import documents, ship
 from cardamom.llm.license_scan import license_scan
+from cardamom.llm.lm_scoring import lm_score
 from cardamom.llm.mixing import mix
 from cardamom.llm.packing import pack
 from cardamom.llm.pii import KINDS, find_pii, span_text
@@ -19,8 +22,13 @@ ORACLE: dict[str, str] = {}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
-    return f
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 @query
@@ -48,6 +56,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(documents(spark, sf_dir))
+
+
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(documents(spark, sf_dir))
