@@ -13,6 +13,7 @@ from cardamom.llm.lm_scoring import lm_score
 from cardamom.llm.mixing import mix
 from cardamom.llm.packing import pack
 from cardamom.llm.pii import KINDS, find_pii, span_text
+from cardamom.llm.quality_classifier import classify
 from cardamom.llm.quality_rules import quality_rules
 from cardamom.llm.simhash import simhash_groups
 from cardamom.llm.topk_search import topk_search
@@ -74,6 +75,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select("doc_id", "lang", F.col("quality_perplexity").alias("perplexity"), F.col("quality_threshold").alias("threshold"), F.col("quality_kept").alias("kept"))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir))
