@@ -23,6 +23,8 @@ from cardamom.llm._common import Staged
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SALTS = 256
+#: Columns of the result; a carried column of such a name gets "c_" before it.
+RESERVED = ("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
 def size_of(text: Column) -> Column:
@@ -132,4 +134,4 @@ def mix(df: DataFrame, *, weights=WEIGHTS, cap: int = 3, id_col: str = "doc_id",
     rows = base.join(shared, ["key", "size", "salt"])
     rank = F.row_number().over(Window.partitionBy("key", "size", "salt").orderBy("draw", "doc_id"))
     rows = rows.withColumn("copies", F.col("each") + (rank <= F.col("extras")).cast("long"))
-    return rows.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[F.col(f"c_{c}").alias(c if c not in ("doc_id", "size", "source_size", "target", "copies", "taken") else f"c_{c}") for c in carry])
+    return rows.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *[F.col(f"c_{c}").alias(c if c not in RESERVED else f"c_{c}") for c in carry])
