@@ -16,6 +16,7 @@ from cardamom.llm.pii import KINDS, find_pii, span_text
 from cardamom.llm.quality_classifier import classify
 from cardamom.llm.quality_rules import quality_rules
 from cardamom.llm.simhash import simhash_groups
+from cardamom.llm.suffix_dedup import remove_repeats
 from cardamom.llm.topk_search import topk_search
 
 QUERIES: dict = {}
@@ -38,6 +39,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
 @query
 def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
