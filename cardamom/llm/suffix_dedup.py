@@ -144,11 +144,12 @@ def _shared(listed: DataFrame) -> DataFrame:
     return listed.repartition("f").sortWithinPartitions("f", "k1").mapInArrow(run, "k1 long, f long")
 
 
-def merge_suffixes(prefix: np.ndarray, tails: np.ndarray, before: np.ndarray, least_o: np.ndarray, most_o: np.ndarray) -> np.ndarray:
+def merge_suffixes(prefix: np.ndarray, tails: np.ndarray, before: np.ndarray, least_o: np.ndarray, most_o: np.ndarray, places: np.ndarray) -> np.ndarray:
     """For each suffix and o: whether the string that starts o bytes before it repeats.
 
     prefix: number of each suffix's group (same first bytes); tails: the next 127 bytes,
-    padded to 128; before: the bytes before it, the nearest first, padded to 128."""
+    padded to 128; before: the bytes before it, the nearest first, padded to 128;
+    places: how often the suffix stands in its text with just these bytes around it."""
     n = len(prefix)
     order = np.argsort(prefix, kind="stable")
     words = np.ascontiguousarray(tails).view(">u8").astype(np.uint64)
@@ -175,15 +176,15 @@ def merge_suffixes(prefix: np.ndarray, tails: np.ndarray, before: np.ndarray, le
     rng = np.random.default_rng(5)
     z = rng.integers(0, 1 << 63, (WINDOW, 256), np.uint64)
     left = np.zeros(n, np.uint64)
-    lo, hi, columns = least_o[order], most_o[order], before[order]
+    lo, hi, columns, weight = least_o[order], most_o[order], before[order], places[order]
     for o in range(WINDOW):
         block = np.cumsum(lcp < WINDOW - 1 - o)
         live = np.flatnonzero((lo <= o) & (o <= hi))
         if len(live):
             key = block[live].astype(np.uint64) * _K[0] + left[live]
             key ^= key >> np.uint64(32)
-            _, back, count = np.unique(key * _K[3], return_inverse=True, return_counts=True)
-            out[order[live], o] = count[back] > 1
+            _, back = np.unique(key * _K[3], return_inverse=True)
+            out[order[live], o] = np.bincount(back, weight[live])[back] > 1
         left += z[o][columns[:, o]]
     return out
 
@@ -218,7 +219,7 @@ def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id",
     sifted = docs.select("k1", "k2", "id", "text").mapInArrow(sift, "k1 long, k2 long, id long, packed binary, n long")
     live = Staged(sifted.join(per_text, ["k1", "k2", "id"]).dropDuplicates(["k1", "k2", "id"]).select("k1", "k2", "packed", "n", "fs"), "repeats-live").read()
 
-    names = ["f1", "f2", "k1", "k2", "at", "least", "most", "tail", "before"]
+    names = ["f1", "f2", "k1", "k2", "at", "n", "least", "most", "tail", "before"]
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = length - (WINDOW - 1)
@@ -229,10 +230,17 @@ def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id",
                 f = _prefixes(data, at, length)
                 keep = np.isin(f[:, 0], np.array(row["fs"], np.int64))
                 at, least, most, f = at[keep], least[keep], most[keep], f[keep]
-                tail = [data[a + size : a + length] for a in at.tolist()]
-                before = [data[a - o : a][::-1] for a, o in zip(at.tolist(), most.tolist(), strict=True)]
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([pa.array(f[:, 0]), pa.array(f[:, 1]), pa.array(np.full(n, row["k1"])), pa.array(np.full(n, row["k2"])), pa.array(at), pa.array(least.astype(np.int16)), pa.array(most.astype(np.int16)), pa.array(tail, pa.binary()), pa.array(before, pa.binary())], names=names)
+                # Anchors of a text with the same bytes around them are one suffix, at several places.
+                same: dict[tuple, list[int]] = {}
+                for a, x, y, lo, hi in zip(at.tolist(), f[:, 0].tolist(), f[:, 1].tolist(), least.tolist(), most.tolist(), strict=True):
+                    same.setdefault((x, y, lo, hi, data[a + size : a + length], data[a - hi : a][::-1]), []).append(a)
+                if not same:
+                    continue
+                f1, f2, least, most, tail, before = zip(*same, strict=True)
+                places = [np.array(x, "<i8").tobytes() for x in same.values()]
+                cols = (f1, f2, [row["k1"]] * len(same), [row["k2"]] * len(same), places, list(map(len, same.values())), least, most, tail, before)
+                types = [pa.int64()] * 4 + [pa.binary(), pa.int64(), pa.int16(), pa.int16(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
     def padded(values: pa.ChunkedArray) -> np.ndarray:
         out = b"".join(x.ljust(WINDOW, b"\0") for x in values.to_pylist())
@@ -242,16 +250,16 @@ def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id",
         for t in _grouped(batches, "f1", 50_000):
             f1, f2 = t.column("f1").to_numpy(), t.column("f2").to_numpy()
             group = np.cumsum(np.concatenate(([True], (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1]))))
-            mask = merge_suffixes(group, padded(t.column("tail")), padded(t.column("before")), t.column("least").to_numpy(), t.column("most").to_numpy())
+            mask = merge_suffixes(group, padded(t.column("tail")), padded(t.column("before")), t.column("least").to_numpy(), t.column("most").to_numpy(), t.column("n").to_numpy())
             hit = np.flatnonzero(mask.any(1))
             if len(hit):
                 own = t.take(pa.array(hit))
                 bits = [x.tobytes() for x in np.packbits(mask[hit], axis=1)]
                 yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("k1", "k2", "at")), pa.array(bits, pa.binary())], names=["k1", "k2", "at", "bits"])
 
-    schema = "f1 long, f2 long, k1 long, k2 long, at long, least short, most short, tail binary, before binary"
+    schema = "f1 long, f2 long, k1 long, k2 long, at binary, n long, least short, most short, tail binary, before binary"
     rows = live.mapInArrow(suffixes, schema).repartition("f1").sortWithinPartitions("f1", "f2")
-    marks = rows.mapInArrow(merge, "k1 long, k2 long, at long, bits binary")
+    marks = rows.mapInArrow(merge, "k1 long, k2 long, at binary, bits binary")
 
     def cut(key: tuple, text: pa.Table, own: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -259,8 +267,10 @@ def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id",
             row = text.slice(0, 1).to_pylist()[0]
             data = pa.decompress(row["packed"], decompressed_size=row["n"], codec="zstd", asbytes=True)
             bits = np.unpackbits(np.frombuffer(b"".join(own.column("bits").to_pylist()), np.uint8).reshape(-1, WINDOW // 8), axis=1)
+            places = own.column("at").to_pylist()
+            bits = np.repeat(bits, [len(x) // 8 for x in places], axis=0)
             k, o = np.nonzero(bits)
-            p = own.column("at").to_numpy()[k] - o
+            p = np.frombuffer(b"".join(places), "<i8")[k] - o
             step = np.bincount(p, minlength=row["n"] + 1) - np.bincount(p + length, minlength=row["n"] + 1)
             gone = np.cumsum(step)[:-1] > 0
             kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
