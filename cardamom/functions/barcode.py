@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cardamom.functions import constants as K
-from cardamom.functions.text import strip
 
 
 def _checked(digits: Column, n: int, odd: int, even: int) -> Column:
@@ -26,9 +25,11 @@ def is_ean8(digits: Column) -> Column:
 
 def normalize_barcode(raw: Column) -> Column:
     """The digits, 12 padded to 13, if they are a valid EAN-13 or EAN-8; else null."""
-    digits = F.regexp_replace(strip(raw.cast("string")), "[^0-9]", "")
-    digits = F.when(F.length(digits) == 12, F.concat(F.lit("0"), digits)).otherwise(digits)
-    return F.when(is_ean13(digits) | is_ean8(digits), digits)
+    digits = F.regexp_replace(raw.cast("string"), "[^0-9]", "")
+    padded = lambda d: F.when(F.length(d) == 12, F.concat(F.lit("0"), d)).otherwise(d)
+    valid = lambda d: F.when(is_ean13(d) | is_ean8(d), d)
+    # each step is computed once, and the code stays small
+    return F.get(F.transform(F.transform(F.array(digits), padded), valid), F.lit(0))
 
 
 def barcode_in_text(text: Column) -> Column:

@@ -1,6 +1,362 @@
-"""Registered queries of the catalog operators and their SQL twins."""
+"""Registered queries of the catalog operators and their SQL twins.
+
+The tables have no product catalogs, so each operator is shown in its general form."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cardamom.functions import barcode as B
+from cardamom.functions import category as C
+from cardamom.functions import constants as K
+from cardamom.functions import identity as I
+from cardamom.functions import price as P
+from cardamom.functions import text as T
+from cardamom.operators import dedupe, drift, health, overlap, quality, sets
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice, CAST(l_extendedprice * (1 - l_discount) AS DOUBLE) AS net FROM lineitem WHERE l_extendedprice < 1000 OR l_extendedprice > 80000")
+def scan_project_filter(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").filter(P.is_suspicious(F.col("l_extendedprice"), 1000.0, 80000.0))
+    return rows.select("l_orderkey", "l_linenumber", "l_extendedprice", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
+
+
+@query("""
+SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice, first_ord FROM (
+  SELECT *, row_number() OVER (PARTITION BY p_name, p_brand ORDER BY p_retailprice, p_partkey) AS rn,
+         min(p_partkey) OVER (PARTITION BY p_name, p_brand) AS first_ord FROM part) WHERE rn = 1""")
+def dedupe_cheapest(spark, sf_dir):
+    key = F.concat_ws("|", "p_name", "p_brand")
+    return dedupe.keep_best(_table(spark, sf_dir, "part"), [key], F.col("p_retailprice"), "p_partkey", "first_ord")
+
+
+@query("""SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY trim(text) ORDER BY doc_id) AS rn FROM documents WHERE trim(text) <> '') WHERE rn = 1""")
+def dedupe_first_name(spark, sf_dir):
+    return dedupe.keep_first_name(_table(spark, sf_dir, "documents"), name_col="text", ord_col="doc_id").select("doc_id", "lang", "source")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS keyed, CAST(count(DISTINCT p_name || '|' || p_brand) AS BIGINT) AS kept, CAST(count(*) - count(DISTINCT p_name || '|' || p_brand) AS BIGINT) AS removed FROM part")
+def dedupe_removed_count(spark, sf_dir):
+    return dedupe.removed_count(_table(spark, sf_dir, "part"), [F.concat_ws("|", "p_name", "p_brand")])
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
+def raw_text_first_seen(spark, sf_dir):
+    return dedupe.keep_first(_table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id").select("user_id", "event_type", "event_id")
+
+
+def _two_catalogs(spark, sf_dir):
+    part = _table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("|", "p_name", "p_type").alias("ik"), F.when(F.col("p_partkey") % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("b"), F.col("p_partkey") % 301)).alias("b"), F.concat_ws("|", "p_brand", F.col("p_size").cast("string")).alias("cn"))
+    return part.filter(F.col("p_partkey") % 2 == 0), part.filter((F.col("p_partkey") % 2 == 1) & (F.col("p_partkey") % 7 == 0))
+
+
+_CATALOGS = """WITH p AS (SELECT p_partkey, p_name || '|' || p_type AS ik, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'b' || (p_partkey % 301) END AS b, p_brand || '|' || p_size AS cn FROM part),
+l AS (SELECT * FROM p WHERE p_partkey % 2 = 0), r AS (SELECT * FROM p WHERE p_partkey % 2 = 1 AND p_partkey % 7 = 0)
+SELECT * FROM l WHERE {0} EXISTS (SELECT 1 FROM r WHERE r.ik = l.ik OR r.cn = l.cn OR (r.b = l.b AND l.b <> ''))"""
+
+
+@query(_CATALOGS.format("NOT"))
+def overlap_anti(spark, sf_dir):
+    return overlap.without_overlap(*_two_catalogs(spark, sf_dir))
+
+
+@query(_CATALOGS.format(""))
+def overlap_semi(spark, sf_dir):
+    return overlap.overlap(*_two_catalogs(spark, sf_dir), "p_partkey")
+
+
+@query("""SELECT event_id, event_type, CASE WHEN event_type LIKE '%err%' OR event_type LIKE '%sign%' THEN 1 ELSE 0 END AS _branch, CASE WHEN event_type LIKE '%err%' OR event_type LIKE '%sign%' THEN value END AS value FROM events""")
+def union_regular_promo(spark, sf_dir):
+    promo, regular = sets.split_by_keywords(_table(spark, sf_dir, "events"), "event_type", ("err", "sign"))
+    return sets.union_branches(regular.select("event_id", "event_type"), promo.select("event_id", "event_type", "value"))
+
+
+@query("SELECT DISTINCT p_partkey AS path FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45)")
+def except_paths(spark, sf_dir):
+    used = _table(spark, sf_dir, "lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("path")).distinct()
+    return sets.removable_paths(_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("path")), used)
+
+
+@query("""
+SELECT p_brand AS country, p_type AS store, count(*) AS total, count(*) FILTER (p_partkey % 3 <> 0) AS with_barcode, count(*) AS with_identity, count(*) FILTER (p_brand <> '') AS with_brand, count(*) FILTER (p_size > 10) AS with_weight,
+       count(*) FILTER (length(p_name) < 9) AS promo_in_name, count(*) FILTER (p_partkey % 11 = 0) AS missing_price, count(*) FILTER (p_partkey % 4 = 0) AS missing_url, count(*) - count(DISTINCT p_name) AS duplicate_identity
+FROM part GROUP BY 1, 2""")
+def quality_counters(spark, sf_dir):
+    rows = _table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("country"), F.col("p_type").alias("store"), F.when(F.col("p_partkey") % 3 != 0, F.lit("87")).otherwise("").alias("b"), F.col("p_name").alias("ik"), F.col("p_brand").alias("bn"),
+        F.when(F.col("p_size") > 10, F.col("p_size")).otherwise(0).cast("long").alias("wg"), F.when(F.length("p_name") < 9, F.lit(" x ")).otherwise(F.col("p_name")).alias("n"),
+        F.when(F.col("p_partkey") % 11 == 0, F.lit("0.00")).otherwise("1.25").alias("p"), F.when(F.col("p_partkey") % 4 == 0, F.lit("")).otherwise("u").alias("l"), F.lit(None).cast("string").alias("i"),
+    )
+    return quality.quality(rows)
+
+
+@query("""
+WITH d AS (SELECT p_partkey, '87' || lpad(CAST(p_partkey * 7 AS VARCHAR), 11, '0') AS d FROM part)
+SELECT p_partkey, CASE WHEN (10 - list_sum(list_transform(range(1, 13), lambda i: CAST(substr(d, i, 1) AS INT) * (CASE WHEN i % 2 = 1 THEN 1 ELSE 3 END))) % 10) % 10 = CAST(substr(d, 13, 1) AS INT) THEN d END AS barcode FROM d""")
+def barcode_checksum(spark, sf_dir):
+    digits = F.concat(F.lit("87"), F.lpad((F.col("p_partkey") * 7).cast("string"), 11, "0"))
+    return _table(spark, sf_dir, "part").select("p_partkey", B.normalize_barcode(digits).alias("barcode"))
+
+
+@query("SELECT l_partkey % 10 AS store, count(*) FILTER (n > 3) AS conflicts, sum(rows) AS rows FROM (SELECT l_partkey, count(DISTINCT l_suppkey) AS n, CAST(count(*) AS BIGINT) AS rows FROM lineitem GROUP BY 1) GROUP BY 1".replace("sum(rows)", "CAST(sum(rows) AS BIGINT)"))
+def barcode_conflicts(spark, sf_dir):
+    pairs = _table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("rows"))
+    codes = pairs.groupBy("l_partkey").agg(F.count("*").alias("n"), F.sum("rows").alias("rows"))
+    return codes.groupBy((F.col("l_partkey") % 10).alias("store")).agg(F.count_if(F.col("n") > 3).alias("conflicts"), F.sum("rows").alias("rows"))
+
+
+def _rules_sql(text: str) -> str:
+    cases = " ".join("WHEN " + " OR ".join(f"contains({text}, '{w}')" for w in words) + f" THEN '{name}'" for words, name in K.CATEGORY_RULES)
+    return f"CASE {cases} ELSE 'Other' END"
+
+
+_WORDS_SQL = "['kaas','brood','rijst','melk','wijn','zeep','tomaten']"
+
+
+@query(f"""WITH p AS (SELECT p_partkey, lower(p_name || '-' || {_WORDS_SQL}[p_partkey % 7 + 1]) AS t FROM part)
+SELECT p_partkey, {_rules_sql("t")} AS category FROM p""")
+def category_rules(spark, sf_dir):
+    words = F.array(*[F.lit(w) for w in ("kaas", "brood", "rijst", "melk", "wijn", "zeep", "tomaten")])
+    text = F.concat_ws("-", "p_name", F.get(words, (F.col("p_partkey") % 7).cast("int")))
+    return _table(spark, sf_dir, "part").select("p_partkey", C.canonical(C.by_rules(text)).alias("category"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Meat & Seafood' WHEN 1 THEN 'Household' WHEN 2 THEN 'Frozen Foods' ELSE 'Other' END AS category FROM part")
+def category_map(spark, sf_dir):
+    keys = F.array(*[F.lit(k) for k in ("vleeswaren", "huishouden", "diepvries_x", "nothing")])
+    return _table(spark, sf_dir, "part").select("p_partkey", C.from_key(F.get(keys, (F.col("p_partkey") % 4).cast("int"))).alias("category"))
+
+
+@query(f"""WITH p AS (SELECT page_id, lower(replace(replace(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '^/+|/+$', '', 'g'), '_', '-'), ',', '-')) AS t FROM pages)
+SELECT page_id, {_rules_sql("t")} AS category FROM p""")
+def category_of_urls(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", C.from_url(F.col("url")).alias("category"))
+
+
+_NAMES = ("Kaas", "Bij", "Nu voor 2.99", "alle soorten voor jou", "vanaf -20% korting", "2,50 euro", "x")
+
+
+@query("""WITH p AS (SELECT p_partkey, ['Kaas','Bij','Nu voor 2.99','alle soorten voor jou','vanaf -20% korting','2,50 euro','x'][p_partkey % 7 + 1] AS n FROM part)
+SELECT p_partkey, CASE n WHEN 'x' THEN 'name_too_short' WHEN 'Bij' THEN 'reject_pattern:^\\s*bij\\s*$' WHEN 'Nu voor 2.99' THEN 'reject_pattern:^nu voor\\b'
+  WHEN 'alle soorten voor jou' THEN 'reject_pattern:\\ball[e]?\\s+.+\\s+voor\\b' WHEN 'vanaf -20% korting' THEN 'reject_pattern:\\bvanaf\\s*-?\\d+\\s*%' WHEN '2,50 euro' THEN 'reject_pattern:^\\d+[.,]\\d{2}\\s*(euro|eur)?\\s*$' END AS reason FROM p""")
+def reject_reason(spark, sf_dir):
+    name = F.get(F.array(*[F.lit(n) for n in _NAMES]), (F.col("p_partkey") % 7).cast("int"))
+    return _table(spark, sf_dir, "part").select("p_partkey", I.reject_reason(name).alias("reason"))
+
+
+@query("""WITH p AS (SELECT *, p_partkey % 4 AS k FROM part)
+SELECT p_partkey, CASE k WHEN 0 THEN p_name WHEN 1 THEN p_name || ' extra' WHEN 2 THEN p_name ELSE p_name || ' plus' END AS name FROM p""")
+def strip_promo(spark, sf_dir):
+    tails = F.array(F.lit(" vanaf 2,99 nu"), F.lit(" 25 % korting extra"), F.lit(" -30 %"), F.lit(" 1 + 1 gratis plus voor"))
+    text = F.concat("p_name", F.get(tails, (F.col("p_partkey") % 4).cast("int")))
+    return _table(spark, sf_dir, "part").select("p_partkey", T.strip_promo(text).alias("name"))
+
+
+def _sizes():
+    n = F.col("p_size").cast("string")
+    forms = F.array(F.concat(n, F.lit(" x 330 ml")), F.concat(n, F.lit(",5 l")), F.concat(n, F.lit(" kg")), F.concat(F.lit("per "), n, F.lit(" g")), F.concat(n, F.lit(" stuks")), F.concat(n, F.lit(" cl")))
+    return F.get(forms, (F.col("p_partkey") % 6).cast("int"))
+
+
+_SIZE_SQL = "CASE p_partkey % 6 WHEN 0 THEN p_size * 330 WHEN 1 THEN p_size * 1000 + 500 WHEN 2 THEN p_size * 1000 WHEN 3 THEN p_size WHEN 4 THEN p_size END"
+
+
+@query(f"SELECT p_partkey, CAST({_SIZE_SQL} AS BIGINT) AS amount FROM part")
+def size_parse(spark, sf_dir):
+    return _table(spark, sf_dir, "part").select("p_partkey", I.parse_size(_sizes()).alias("amount"))
+
+
+@query(f"""WITH p AS (SELECT p_partkey, p_size, CAST({_SIZE_SQL} AS BIGINT) AS a FROM part)
+SELECT p_partkey, CASE WHEN a IS NULL THEN p_size || ' cl' WHEN a >= 1000 AND a % 1000 = 0 THEN (a // 1000) || ' l' WHEN a >= 1000 THEN replace(printf('%.2f', a / 1000.0) || ' l', '.00', '') WHEN a = 1 THEN '1 stuk' ELSE a || ' ml' END AS label FROM p""")
+def size_label(spark, sf_dir):
+    return _table(spark, sf_dir, "part").select("p_partkey", I.size_label(_sizes(), I.parse_size(_sizes())).alias("label"))
+
+
+_KEY_SQL = """WITH b AS (SELECT p_partkey, p_size, string_split(p_name, ' ') AS w, CASE WHEN p_partkey % 3 = 0 THEN 'campina' ELSE list_filter(string_split(p_name, ' '), lambda x: x IN ('old', 'red'))[1] END AS brand FROM part),
+p AS (SELECT *, list_sort(list_distinct(list_filter(w, lambda x: x IS DISTINCT FROM brand))) AS t FROM b)"""
+
+
+@query(_KEY_SQL + """ SELECT p_partkey, coalesce(brand || ' ', '') || array_to_string(t, ' ') AS cn, 'tok:' || coalesce(brand, 'unknown') || '|' || array_to_string(t, '-') || '|' || p_size AS ik FROM p""")
+def identity_keys(spark, sf_dir):
+    name = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("campina "), "p_name")).otherwise(F.col("p_name"))
+    brand = I.extract_brand(name)
+    toks = I.tokens(F.concat(name, F.lit(" 250 g voor "), F.lit("")), brand)
+    rows = _table(spark, sf_dir, "part").select("p_partkey", "p_size", name.alias("n"), brand.alias("brand"), toks.alias("toks"))
+    none = F.lit(None).cast("string")
+    return rows.select("p_partkey", I.canonical_name(F.col("n"), F.col("brand"), F.col("toks")).alias("cn"), I.identity_key(none, F.col("brand"), F.col("toks"), F.col("p_size")).alias("ik"))
+
+
+@query("""SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'red bull' WHEN 1 THEN 'unox' WHEN 2 THEN 'supplier' END AS brand FROM supplier""")
+def brand_extract(spark, sf_dir):
+    forms = F.array(F.lit("Nieuw Red Bull blik"), F.lit("soep van UNOX Supplier"), F.concat(F.lit("een Supplier "), "s_name"), F.lit("een kleine appel"))
+    return _table(spark, sf_dir, "supplier").select("s_suppkey", I.extract_brand(F.get(forms, (F.col("s_suppkey") % 4).cast("int"))).alias("brand"))
+
+
+@query("""WITH d AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '') AS l FROM documents)
+SELECT doc_id, CAST(len(l) AS INT) AS n_lines, l[1] AS first_line, CAST(list_max(list_transform(l, lambda x: length(x))) AS INT) AS longest FROM d""")
+def parse_lines(spark, sf_dir):
+    rows = _table(spark, sf_dir, "documents").select("doc_id", T.lines(F.col("text")).alias("lines"))
+    return rows.select("doc_id", F.size("lines").alias("n_lines"), F.get("lines", F.lit(0)).alias("first_line"), F.array_max(F.transform("lines", F.length)).alias("longest"))
+
+
+@query("""SELECT event_id, CASE event_id % 5 WHEN 3 THEN CAST('inf' AS DOUBLE) WHEN 4 THEN 0 ELSE CAST(printf('%.2f', value) AS DOUBLE) END AS loose,
+  CASE WHEN event_id % 5 IN (0, 2) AND CAST(printf('%.2f', value) AS DOUBLE) > 0 THEN CAST(printf('%.2f', value) AS DOUBLE) END AS strict, event_id % 5 = 4 AS missing FROM events""")
+def price_parsers(spark, sf_dir):
+    text = P.two_decimals(F.col("value"))
+    forms = F.array(text, F.concat(F.lit("€ "), text), F.replace(text, F.lit("."), F.lit(",")), F.lit("bad"), F.lit("0.00"))
+    p = F.get(forms, (F.col("event_id") % 5).cast("int"))
+    return _table(spark, sf_dir, "events").select("event_id", P.loose_price(p).alias("loose"), P.strict_price(p).alias("strict"), P.is_missing(p).alias("missing"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size < 10 THEN '0.0' || p_size WHEN p_size < 100 THEN '0.' || p_size END AS price FROM part")
+def whole_prices(spark, sf_dir):
+    return _table(spark, sf_dir, "part").select("p_partkey", P.whole_to_cents(F.col("p_size").cast("string")).alias("price"))
+
+
+_NOW = "2024-01-20 00:00:00"
+
+
+def _event_catalog(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    code = F.when(F.col("event_id") % 9 == 0, F.lit("123")).when(F.col("event_id") % 9 < 6, F.concat(F.lit("87"), F.lpad((F.col("user_id") * 70).cast("string"), 10, "0"), F.lit("x")))
+    digits = F.regexp_replace(code, "x", "")
+    # the last digit that makes an EAN-13 of the twelve
+    check = sum((F.substring(digits, k, 1).try_cast("int") * (1 if k % 2 else 3) for k in range(1, 13)), F.lit(0))
+    b = F.when(F.col("event_id") % 9 == 0, F.lit("123")).otherwise(F.concat(digits, F.pmod(10 - check % 10, F.lit(10)).cast("string")))
+    return ev.select(F.lit("nl").alias("country"), F.col("event_type").alias("store"), F.concat_ws("-", F.col("user_id").cast("string"), (F.col("event_id") % 3).cast("string")).alias("ik"), b.alias("b"), F.when(F.col("event_id") % 10 == 0, F.lit("bad")).otherwise(P.two_decimals(F.col("value"))).alias("p"), F.lit("Kaas").alias("n"), F.when(F.col("event_id") % 8 != 0, F.col("ts").cast("timestamp")).alias("scraped"))
+
+
+_HEALTH_SQL = f"""
+WITH e AS (SELECT event_type AS store, user_id || '-' || (event_id % 3) AS ik, CASE WHEN event_id % 9 BETWEEN 1 AND 5 THEN user_id END AS code, event_id % 9 = 0 AS bad_code,
+  event_id % 10 = 0 OR CAST(printf('%.2f', value) AS DOUBLE) <= 0 AS bad_price, event_id % 10 <> 0 AND ((CAST(printf('%.2f', value) AS DOUBLE) < 0.05 AND CAST(printf('%.2f', value) AS DOUBLE) > 0) OR value > 500) AS odd, CASE WHEN event_id % 8 <> 0 THEN ts END AS ts FROM events),
+m AS (SELECT store, count(*) AS product_count, count(code) AS valid_barcodes, count(*) FILTER (bad_code) AS invalid_barcodes, count(code) - count(DISTINCT code) AS duplicate_barcodes, count(*) - count(DISTINCT ik) AS duplicate_identities,
+  count(*) FILTER (bad_price) AS invalid_prices, count(*) FILTER (odd) AS suspicious_prices, count(*) FILTER (ts IS NULL) AS missing_timestamps, count(*) FILTER (epoch_us(TIMESTAMP '{_NOW}') - epoch_us(ts) > 172800000000) AS stale_rows FROM e GROUP BY store),
+c AS (SELECT store, count(*) FILTER (n > 1) AS conflicts FROM (SELECT store, code, count(DISTINCT ik) AS n FROM e WHERE code IS NOT NULL GROUP BY 1, 2) GROUP BY 1)"""
+
+
+@query(_HEALTH_SQL + " SELECT m.*, conflicts, round(valid_barcodes / product_count, 6) AS barcode_coverage, round(invalid_prices / product_count, 6) AS invalid_price_rate FROM m JOIN c USING (store)")
+def health_metrics(spark, sf_dir):
+    m = health.metrics(_event_catalog(spark, sf_dir), F.lit(_NOW).cast("timestamp"))
+    cols = "store product_count valid_barcodes invalid_barcodes duplicate_barcodes duplicate_identities invalid_prices suspicious_prices missing_timestamps stale_rows conflicts barcode_coverage invalid_price_rate"
+    return m.select(*cols.split())
+
+
+@query(_HEALTH_SQL + """, r AS (SELECT *, round(invalid_prices / product_count, 6) AS ipr, round(suspicious_prices / product_count, 6) AS spr, round(duplicate_identities / product_count, 6) AS dir, round(duplicate_barcodes / product_count, 6) AS dbr FROM m JOIN c USING (store))
+SELECT store, array_to_string(list_filter([CASE WHEN product_count < 2000 THEN 'product_count_below_minimum' END, CASE WHEN ipr > 0.1 THEN 'invalid_price_rate_high' WHEN ipr > 0.01 THEN 'invalid_price_rate_elevated' END,
+  CASE WHEN spr > 0.02 THEN 'suspicious_price_rate_high' END, CASE WHEN dir > 0.01 THEN 'duplicate_identity_rate_high' END, CASE WHEN dbr > 0.005 THEN 'duplicate_barcode_rate_high' END, CASE WHEN conflicts > 0 THEN 'barcode_identity_conflicts' END,
+  CASE WHEN invalid_barcodes > 0 THEN 'invalid_barcodes' END, CASE WHEN missing_timestamps > 0 THEN 'missing_scrape_timestamps' END, CASE WHEN stale_rows > 0 THEN 'stale_scrape_rows' END], lambda x: x IS NOT NULL), ',') AS codes,
+  CASE WHEN product_count < 2000 OR ipr > 0.1 OR dir > 0.01 OR stale_rows > 0 THEN 'error' ELSE 'warning' END AS status FROM r""")
+def health_issues(spark, sf_dir):
+    m = health.metrics(_event_catalog(spark, sf_dir), F.lit(_NOW).cast("timestamp"))
+    judged = health.issues(m, minimum=F.lit(2000))
+    return judged.select("store", F.array_join(F.transform("issues", lambda i: i["code"]), ",").alias("codes"), "status")
+
+
+@query(_HEALTH_SQL + """ SELECT count(*) AS stores, CAST(sum(product_count) AS BIGINT) AS products, CAST(sum(valid_barcodes) AS BIGINT) AS barcodes, max(CASE WHEN stale_rows > 0 OR product_count < 2000 OR round(invalid_prices / product_count, 6) > 0.1 OR round(duplicate_identities / product_count, 6) > 0.01 THEN 'error' END) AS status FROM m""")
+def worst_status_rollup(spark, sf_dir):
+    m = health.metrics(_event_catalog(spark, sf_dir), F.lit(_NOW).cast("timestamp"))
+    return health.rollup(health.issues(m, minimum=F.lit(2000))).select("stores", "products", "barcodes", "status")
+
+
+def _weekly(spark, sf_dir):
+    ev = _table(spark, sf_dir, "events")
+    week = lambda a, b: ev.filter((F.col("event_id") % 10 >= a) & (F.col("event_id") % 10 < b))
+    counts = week(0, 3).filter("event_type <> 'click'").groupBy(F.lit("nl").alias("country"), F.col("event_type").alias("store")).agg(F.count("*").alias("count"))
+    base = week(3, 10).groupBy(F.lit("nl").alias("country"), F.col("event_type").alias("store")).agg(F.count("*").alias("total"))
+    targets = ev.select(F.lit("nl").alias("country"), F.col("event_type").alias("store")).distinct().withColumn("minimum_products", F.when(F.col("store") == "error", 100_000_000).otherwise(0))
+    return drift.against_baseline(targets, counts, base)
+
+
+_WEEK_SQL = """WITH c AS (SELECT event_type AS store, count(*) FILTER (event_id % 10 < 3 AND event_type <> 'click') AS n, count(*) FILTER (event_id % 10 >= 3) AS b FROM events GROUP BY 1)"""
+
+
+@query(_WEEK_SQL + """ SELECT store, n AS count, b AS baseline, CASE WHEN store = 'error' THEN 'NL/error: ' || n || ' products < minimum 100000000' WHEN b > 0 AND (b - n) / b > 0.5 THEN 'NL/' || store || ': dropped ' || CAST(round_even(100.0 * (b - n) / b, 0) AS BIGINT) || '% vs baseline ' || b || ' (now ' || n || ')' END AS failure FROM c""")
+def drift_vs_baseline(spark, sf_dir):
+    return drift.drop_gate(_weekly(spark, sf_dir)).select("store", "count", "baseline", "failure")
+
+
+@query(_WEEK_SQL + """ SELECT store, CAST((CASE WHEN n = 0 THEN 1 WHEN store = 'error' THEN 1 ELSE 0 END) + (CASE WHEN b > 0 AND n < b * 0.5 THEN 1 ELSE 0 END) + 1 AS INT) AS n_alerts, CASE WHEN n = 0 THEN 'catalog contains zero products' WHEN store = 'error' THEN n || ' products is below configured minimum 100000000' WHEN b > 0 AND n < b * 0.5 THEN 'count dropped from baseline ' || b || ' to ' || n || ' (limit 50%)' END AS first_alert FROM c""")
+def drift_alerts(spark, sf_dir):
+    df = _weekly(spark, sf_dir).withColumns({"read_error": F.lit(None).cast("string"), "changed_at": F.lit(1_700_000_000)})
+    out = drift.alerts(df, F.lit(1_700_000_000 + 100 * 3600))
+    return out.select("store", F.size("alerts").alias("n_alerts"), F.get("alerts", F.lit(0)).alias("first_alert"))
+
+
+@query("SELECT event_type, count(*) FILTER (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(ts) > 172800000000) AS stale, max(ts) AS newest FROM events GROUP BY 1")
+def freshness(spark, sf_dir):
+    age = F.unix_micros(F.lit("2024-02-01 00:00:00").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))
+    return _table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_if(age > 48 * 3600 * 1_000_000).alias("stale"), F.max("ts").alias("newest"))
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'error') / count(*) AS ratio, count(*) FILTER (event_type = 'error') / count(*) <= 0.05 AS passed FROM events")
+def failure_gate(spark, sf_dir):
+    log = _table(spark, sf_dir, "events").select(F.col("user_id").alias("url"), F.when(F.col("event_type") == "error", F.lit("failed")).alias("error"))
+    return drift.failure_gate(log)
+
+
+@query("SELECT o_custkey, count(*) AS count FROM orders GROUP BY 1 HAVING count(*) < 5")
+def minimum_gate(spark, sf_dir):
+    return drift.minimum_gate(_table(spark, sf_dir, "orders"), ["o_custkey"], 5)
+
+
+@query("SELECT n_regionkey AS region, string_agg(n_name, ',' ORDER BY n_nationkey) AS names, count(*) AS n FROM nation GROUP BY 1")
+def nested_export(spark, sf_dir):
+    out = sets.nested(_table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("region"), "n_name", "n_nationkey"), ["region"], "n_nationkey")
+    return out.select("region", F.array_join(F.transform("d", lambda x: x["n_name"]), ",").alias("names"), F.size("d").cast("long").alias("n"))
+
+
+@query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, CAST(len(regexp_extract_all(html, '<p[ >]')) AS INT) AS n_paragraphs FROM pages")
+def html_cards(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_count("html", F.lit("<p[ >]")).alias("n_paragraphs"))
+
+
+@query("""SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', ''), '([^/]*)$', 1) AS slug FROM pages""")
+def url_slug(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", T.url_path(F.col("url")).alias("path"), T.last_segment(F.col("url")).alias("slug"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS barcode FROM events")
+def json_props(spark, sf_dir):
+    row = F.try_parse_json("props")
+    return _table(spark, sf_dir, "events").select("event_id", F.try_variant_get(row, "$.k", "long").alias("k"), B.labelled_barcode(row).alias("barcode"))
+
+
+@query("SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) WHERE rn <= 50")
+def page_cap(spark, sf_dir):
+    return sets.page_rows(_table(spark, sf_dir, "events"), ["user_id"], "event_id", 10, 5).select("event_id", "user_id")
+
+
+@query("SELECT c_custkey, o_orderkey, c_mktsegment AS category FROM customer JOIN orders ON c_custkey = o_custkey")
+def redirect_cache(spark, sf_dir):
+    urls = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("source_url"), F.col("c_custkey").alias("target_url"), F.col("c_mktsegment").alias("category"))
+    cached = _table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("target_url"), "o_orderkey", F.col("o_orderstatus").alias("category"))
+    return sets.expand_cache(urls, cached).select(F.col("source_url").alias("c_custkey"), "o_orderkey", "category")
+
+
+@query("SELECT p_type, p_brand, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS size FROM part GROUP BY ROLLUP (p_type, p_brand)")
+def grand_totals(spark, sf_dir):
+    return _table(spark, sf_dir, "part").rollup("p_type", "p_brand").agg(F.count("*").alias("n"), F.sum("p_size").alias("size"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE starts_with(o_orderpriority, substr(o_orderstatus, 2) || CAST(o_orderkey % 5 + 1 AS VARCHAR))")
+def offer_starts_with_name(spark, sf_dir):
+    rows = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("o"), F.concat(F.substring("o_orderstatus", 2, 9), (F.col("o_orderkey") % 5 + 1).cast("string")).alias("n"))
+    return sets.name_starts_offer(rows).select("o_orderkey")
