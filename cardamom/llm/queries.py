@@ -7,6 +7,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardamom.llm import oracle
 from cardamom.llm._common import documents, ship
 from cardamom.llm.license_scan import license_scan
 from cardamom.llm.lm_scoring import lm_score
@@ -20,7 +21,11 @@ from cardamom.llm.suffix_dedup import remove_repeats
 from cardamom.llm.topk_search import topk_search
 
 QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": oracle.quality_rules(),
+    "op3_topk_search": oracle.topk_search(),
+    "op4_license_scan": oracle.license_scan(),
+}
 
 
 def query(f):
