@@ -28,7 +28,7 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()), ("open", pa.bool_())])
 LETTER_MARK = r"([a-zß-öø-ÿ])([!-/:-@\[-`{-~])"
 #: Entries of a worker's memory of encoded words; beyond that it starts anew.
-MEMORY = 800_000
+MEMORY = 400_000
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -81,7 +81,7 @@ class WordEncoder:
         return ids, np.concatenate(([0], end))[bounds - bounds[0]]
 
 
-def chunks(batch: pa.RecordBatch, column: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def chunks(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have up to ``most`` bytes, or one row that has more."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     at = 0
