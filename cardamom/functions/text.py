@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardamom.functions import constants as K
@@ -14,6 +14,16 @@ from cardamom.functions import constants as K
 SPACE = r"[\s\x1C-\x1F]"
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once for each row, and standing once in the plan."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """The rows with a column that no later step computes again: what stands above is not pushed below it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

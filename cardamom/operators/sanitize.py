@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardamom.functions import barcode as B
 from cardamom.functions import category as C
 from cardamom.functions import identity as I
-from cardamom.functions.text import blank_to_null, capitals, strip, strip_promo
+from cardamom.functions.text import blank_to_null, capitals, let, once, strip, strip_promo
 
 #: Columns that a product row has, and their types.
 PRODUCT = {"n": "string", "p": "string", "o": "string", "s": "string", "l": "string", "i": "string", "c": "string", "b": "string", "cn": "string", "ik": "string", "bn": "string", "wg": "bigint", "scraped_at": "string"}
@@ -24,28 +24,33 @@ def classify(df: DataFrame, barcode: Column | None = None) -> DataFrame:
 
     Rows that are not ok keep their values. ``barcode`` overrides where the barcode comes from."""
     df = with_product_columns(df)
-    rows = df.withColumn("_name", strip(F.coalesce(F.col("n"), F.lit(""))))
-    rows = rows.withColumn("_clean", strip_promo(F.col("_name")))
     code = barcode if barcode is not None else B.labelled_barcode(F.col("_row")) if "_row" in df.columns else F.lit(None).cast("string")
-    rows = rows.withColumn("_code", F.coalesce(code, B.normalize_barcode(F.col("b"))))
-    brand = F.coalesce(blank_to_null(F.col("bn")), I.extract_brand(F.col("_clean")))
-    rows = rows.withColumn("_brand", blank_to_null(F.lower(strip(brand))))
-    rows = rows.withColumn("_size", strip(F.coalesce(F.col("s"), F.lit(""))))
-    rows = rows.withColumn("_amount", F.coalesce(F.col("wg"), I.parse_size(F.col("_size"))))
-    rows = rows.withColumn("_tokens", I.tokens(F.col("_clean"), F.col("_brand")))
-    ok = (F.col("_name") != "") & (F.length("_clean") >= 3) & I.reject_reason(F.col("_clean")).isNull() & ((F.size("_tokens") > 0) | F.col("_brand").isNotNull())
-    rows = rows.withColumn("_ok", F.coalesce(ok, F.lit(False)))
-    new = {
-        "n": capitals(F.col("_clean")),
-        "cn": I.canonical_name(F.col("_clean"), F.col("_brand"), F.col("_tokens")),
-        "ik": I.identity_key(F.col("_code"), F.col("_brand"), F.col("_tokens"), F.col("_amount")),
-        "bn": F.coalesce("_brand", "bn"),
-        "wg": F.coalesce("_amount", "wg"),
-        "s": I.size_label(F.col("_size"), F.col("_amount")),
-        "b": F.coalesce("_code", "b"),
-    }
-    done = rows.withColumns({f"_new_{k}": F.when(F.col("_ok"), v).otherwise(F.col(k)) for k, v in new.items()})
-    return done.select(*[F.col(f"_new_{c}").alias(c) if c in new else F.col(f"`{c}`") for c in df.columns], "_ok")
+    code = F.coalesce(code, B.normalize_barcode(F.col("b")))
+    size = strip(F.coalesce(F.col("s"), F.lit("")))
+    facts = F.struct(code.alias("code"), size.alias("size"), F.coalesce(F.col("wg"), I.parse_size(size)).alias("amount"))
+
+    def named(name: Column) -> Column:
+        return let(strip_promo(name), lambda clean: let(F.coalesce(blank_to_null(F.col("bn")), I.extract_brand(clean)), lambda brand: branded(name, clean, blank_to_null(F.lower(strip(brand))))))
+
+    def branded(name: Column, clean: Column, brand: Column) -> Column:
+        return let(brand, lambda b: let(I.tokens(clean, b), lambda t: let(facts, lambda f: cleaned(name, clean, b, t, f))))
+
+    def cleaned(name: Column, clean: Column, brand: Column, toks: Column, f: Column) -> Column:
+        ok = (name != "") & (F.length(clean) >= 3) & I.reject_reason(clean).isNull() & ((F.size(toks) > 0) | brand.isNotNull())
+        new = {
+            "n": capitals(clean),
+            "cn": I.canonical_name(clean, brand, toks),
+            "ik": I.identity_key(f["code"], brand, toks, f["amount"]),
+            "bn": F.coalesce(brand, F.col("bn")),
+            "wg": F.coalesce(f["amount"], F.col("wg")),
+            "s": I.size_label(f["size"], f["amount"]),
+            "b": F.coalesce(f["code"], F.col("b")),
+        }
+        return F.struct(F.coalesce(ok, F.lit(False)).alias("ok"), *[v.alias(k) for k, v in new.items()])
+
+    rows = once(df, "_new", let(strip(F.coalesce(F.col("n"), F.lit(""))), named))
+    value = lambda c: F.when(F.col("_new.ok"), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
+    return rows.select(*[value(c) if c in ("n", "cn", "ik", "bn", "wg", "s", "b") else F.col(f"`{c}`") for c in df.columns], F.col("_new.ok").alias("_ok"))
 
 
 def sanitize(df: DataFrame, barcode: Column | None = None) -> DataFrame:

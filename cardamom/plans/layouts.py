@@ -21,10 +21,6 @@ UNIT_PLUS = r"(?iUd)\b(per\s*)?\d+\s?(g|kg|ml|l|cl|stuks?|x\s?\d+.*|st|gram)\b"
 SIZE_LIDL = r"(?iUd)\b(per\s+\w+|\d+\s*[xX]\s*\d+\s*(?:g|kg|ml|l|cl|stuks?)|\d+\s?(g|kg|ml|l|cl|x\s?\d+.*|stuks?))"
 
 
-def _let(value: Column, body) -> Column:
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _first(array: Column) -> Column:
     return F.coalesce(F.get(array, F.lit(0)), F.lit(""))
 
@@ -87,9 +83,9 @@ def parse_ah(raw: Column, image: Column) -> Column:
             )
 
         picture = F.when(image == K.NO_IMAGE, F.lit("")).otherwise(image)
-        return _product(name, _let(P.prices_in(raw), price), _joined(offers), _first_size(lines, UNIT_AH), picture)
+        return _product(name, T.let(P.prices_in(raw), price), _joined(offers), _first_size(lines, UNIT_AH), picture)
 
-    return _let(T.lines(raw), of)
+    return T.let(T.lines(raw), of)
 
 
 def parse_coop(raw: Column, image: Column) -> Column:
@@ -108,7 +104,7 @@ def parse_jumbo(raw: Column, image: Column) -> Column:
         offer = F.filter(lines, lambda x: F.lower(x).rlike(rf"(?U)\b(?:{T.quoted(K.OFFERS_JUMBO)})\b"))
         return _product(F.substring(first, F.lit(1), end), _lowest(P.prices_in(raw)), _joined(offer), _first_size(lines, UNIT_JUMBO), image)
 
-    return _let(T.lines(raw), of)
+    return T.let(T.lines(raw), of)
 
 
 def parse_aldi(raw: Column, image: Column) -> Column:
@@ -131,11 +127,11 @@ def parse_aldi(raw: Column, image: Column) -> Column:
                 long = F.filter(F.transform(names, lambda x, i: F.struct(F.length(x).alias("n"), (-i).alias("i"), x.alias("x"))), lambda y: y["n"] > 5)
                 return F.coalesce(F.array_max(long)["x"], F.get(names, F.lit(0)))
 
-            return _product(_let(F.array_distinct(fit), name), price, offer, size, image)
+            return _product(T.let(F.array_distinct(fit), name), price, offer, size, image)
 
-        return _let(F.filter(all_lines, lambda x, i: i != F.coalesce(at, F.lit(0)) - 1), rest)
+        return T.let(F.filter(all_lines, lambda x, i: i != F.coalesce(at, F.lit(0)) - 1), rest)
 
-    return _let(T.lines(raw), of)
+    return T.let(T.lines(raw), of)
 
 
 def parse_dirk(raw: Column, image: Column) -> Column:
@@ -153,9 +149,9 @@ def parse_dirk(raw: Column, image: Column) -> Column:
             at = lambda i: F.when(i >= 0, F.get(left, i.cast("int")))
             return _product(_joined(name), price, at(offer_at), at(size_at), image)
 
-        return _let(_from(lines, k), rest)
+        return T.let(_from(lines, k), rest)
 
-    return _let(T.all_lines(raw), of)
+    return T.let(T.all_lines(raw), of)
 
 
 def parse_dirk_promo(raw: Column, image: Column) -> Column:
@@ -174,11 +170,11 @@ def parse_dirk_promo(raw: Column, image: Column) -> Column:
                 size = F.when(at >= 0, F.get(left, at.cast("int")))
                 return _product(T.strip(_joined(F.filter(left, lambda x, i: i != at))), price, _joined(offers), size, image)
 
-            return _let(_from(lines, k), last)
+            return T.let(_from(lines, k), last)
 
-        return _let(_without(all_lines, offers), rest)
+        return T.let(_without(all_lines, offers), rest)
 
-    return _let(T.lines(raw), of)
+    return T.let(T.lines(raw), of)
 
 
 def parse_lidl(raw: Column, image: Column) -> Column:
@@ -199,10 +195,10 @@ def parse_lidl(raw: Column, image: Column) -> Column:
         name = F.regexp_replace(name, r"(?U)[-−]?[€Є]\d+\.?-?", "")
         name = T.collapse(F.regexp_replace(name, r"(?iU)\bRAM\b", ""))
         low = lambda w: F.transform(w, F.lower)
-        once = _let(T.words(name), lambda w: _joined(F.filter(w, lambda x, i: F.array_position(low(w), F.lower(x)) == i + 1)))
+        once = T.let(T.words(name), lambda w: _joined(F.filter(w, lambda x, i: F.array_position(low(w), F.lower(x)) == i + 1)))
         return _product(once, _lowest(prices), T.strip(offer), size, image)
 
-    return _let(T.lines(raw), of)
+    return T.let(T.lines(raw), of)
 
 
 def parse_plus(raw: Column, image: Column) -> Column:
@@ -221,7 +217,7 @@ def parse_plus(raw: Column, image: Column) -> Column:
         price = F.when(F.size(found) > 0, _lowest(found)).otherwise(_lowest(cents))
         return _product(bare(F.get(lines, k)), price, _joined(_upto(lines, k)), size, image)
 
-    return _let(T.lines(raw), of)
+    return T.let(T.lines(raw), of)
 
 
 LAYOUTS = {
@@ -239,5 +235,5 @@ LAYOUTS = {
 def parse_cards(cards: DataFrame, layout: str, *, text_col: str = "raw_text", image_col: str = "image") -> DataFrame:
     """The cards with n, p, o, s and l (columns of these names are replaced)."""
     raw = F.coalesce(F.col(text_col), F.lit(""))
-    parsed = cards.withColumn("_parsed", LAYOUTS[layout](raw, F.coalesce(F.col(image_col), F.lit(""))))
+    parsed = T.once(cards, "_parsed", LAYOUTS[layout](raw, F.coalesce(F.col(image_col), F.lit(""))))
     return parsed.withColumns({c: F.col(f"_parsed.{c}") for c in "nposl"}).drop("_parsed")
