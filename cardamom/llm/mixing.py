@@ -35,7 +35,7 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, cap: float = 3
     """Targets by weight, none above ``cap`` times its size; the excess is shared again by weight."""
     order = sorted(sizes, key=lambda x: (x[0] is None, (x[0] or "").encode("utf-32-be")))
     weight = {s: float(weights[k % len(weights)]) for k, (s, _) in enumerate(order)}
-    most = {s: cap * n for s, n in order}
+    most = {s: float(cap * n) for s, n in order}
     total, full = float(sum(n for _, n in order)), set()
     while True:
         left = total - sum(most[s] for s in full)

@@ -228,14 +228,14 @@ def span_text(spans: Column) -> Column:
 def redact(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **scoring) -> DataFrame:
     """The input with each span of ``text_col`` replaced by its kind in angle brackets."""
     found = find_pii(df, id_col=id_col, text_col=text_col, **scoring)
-    hit = found.filter((F.size("base_spans") > 0) | (F.size("added_spans") > 0)).groupBy("row_key").agg(F.first(F.concat("base_spans", "added_spans")).alias("spans"))
-    rows = df.withColumn("_pii_key", _row_key(id_col, text_col)).join(hit, F.col("_pii_key") == hit["row_key"], "left").drop("row_key")
+    hit = found.filter((F.size("base_spans") > 0) | (F.size("added_spans") > 0)).groupBy(F.col("row_key").alias("_pii_row")).agg(F.first(F.concat("base_spans", "added_spans")).alias("_pii_spans"))
+    rows = df.withColumn("_pii_key", _row_key(id_col, text_col)).join(hit, F.col("_pii_key") == F.col("_pii_row"), "left")
     # Spans may overlap: those that begin inside an earlier one only widen it.
-    by_place = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    by_place = F.array_sort(F.transform("_pii_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("longest_first"), s["end"].alias("end"), s["kind"].alias("kind"))))
     step = lambda a, s: F.struct(
         F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(F.col(text_col), a["at"] + 1, s["start"] - a["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(a["out"]).alias("out"),
         F.greatest(a["at"], s["end"]).alias("at"),
     )
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     done = F.aggregate(by_place, start, step, lambda a: F.concat(a["out"], F.substring(F.col(text_col), a["at"] + 1, F.length(F.col(text_col)))))
-    return rows.withColumn(text_col, F.when(F.col("spans").isNull(), F.col(text_col)).otherwise(done)).select(*df.columns)
+    return rows.withColumn(text_col, F.when(F.col("_pii_spans").isNull(), F.col(text_col)).otherwise(done)).select(*df.columns)
