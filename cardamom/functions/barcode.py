@@ -10,7 +10,8 @@ from cardamom.functions import constants as K
 
 def _checked(digits: Column, n: int, odd: int, even: int) -> Column:
     """Whether the last of n digits makes the weighted sum a multiple of ten."""
-    digit = lambda k: F.substring(digits, k + 1, 1).try_cast("int")
+    number = digits.try_cast("long")
+    digit = lambda k: F.call_function("div", number, F.lit(10 ** (n - 1 - k))) % 10
     total = sum((digit(k) * (odd if k % 2 == 0 else even) for k in range(n - 1)), F.lit(0))
     return (F.length(digits) == n) & (F.pmod(F.lit(10) - total % 10, F.lit(10)) == digit(n - 1))
 
@@ -42,12 +43,12 @@ def labelled_barcode(row: Column) -> Column:
     """The first valid barcode of the fields of a VARIANT record that are labelled as one.
 
     The record itself, then its ``product``, then its ``attributes``; then its lists."""
-    text = lambda path: F.try_variant_get(row, path, "string")
-    single = F.array(*[text(f"${c}.{k}") for c in ("", ".product", ".attributes") for k in K.BARCODE_FIELDS])
+    maps = F.array(*[F.try_variant_get(row, p, "map<string,string>") for p in ("$", "$.product", "$.attributes")])
+    single = F.flatten(F.transform(maps, lambda m: F.array(*[F.try_element_at(m, F.lit(k)) for k in K.BARCODE_FIELDS])))
     lists = [F.coalesce(F.try_variant_get(row, f"$.{k}", "array<variant>"), F.array().cast("array<variant>")) for k in K.BARCODE_LISTS]
     value = lambda v: F.coalesce(F.try_variant_get(v, "$.value", "string"), F.try_variant_get(v, "$", "string"))
     many = F.transform(F.concat(*lists), value)
-    return F.get(F.filter(F.transform(F.concat(single, many), normalize_barcode), lambda x: x.isNotNull()), F.lit(0))
+    return F.get(F.filter(F.transform(F.array_compact(F.concat(single, many)), normalize_barcode), lambda x: x.isNotNull()), F.lit(0))
 
 
 def card_barcode(ean: Column, gtin: Column, product_ean: Column, scripts: Column) -> Column:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardamom.functions import constants as K
 from cardamom.functions.barcode import normalize_barcode
 from cardamom.functions.identity import reject_reason
 from cardamom.functions.price import is_suspicious, present, rate, strict_price
-from cardamom.functions.text import strip
+from cardamom.functions.text import once, strip
 
 ISSUE = "struct<severity:string,code:string,actual:double,threshold:double>"
 
@@ -28,9 +28,9 @@ def metrics(rows: DataFrame, now: Column, *, by: Sequence[str] = ("country", "st
     Barcodes and identities are first summed by (group, barcode, identity), so conflicts and
     duplicates need no second look at the rows."""
     obj = F.coalesce(F.col("_is_object"), F.lit(True)) if "_is_object" in rows.columns else F.lit(True)
-    code = normalize_barcode(F.col("b"))
-    price = strict_price(F.col("p"))
-    prepared = rows.select(
+    facts = F.struct(normalize_barcode(F.col("b")).alias("code"), strict_price(F.col("p")).alias("price"))
+    code, price = F.col("_facts.code"), F.col("_facts.price")
+    prepared = once(rows, "_facts", facts).select(
         *by,
         obj.alias("obj"),
         F.when(obj, F.nullif(strip(F.coalesce("ik", F.lit(""))), F.lit(""))).alias("ik"),
@@ -47,15 +47,17 @@ def metrics(rows: DataFrame, now: Column, *, by: Sequence[str] = ("country", "st
         F.count("*").alias("rows"), n(F.col("obj")).alias("objs"), n(F.col("bad_code")).alias("bad_code"), n(F.col("bad_price")).alias("bad_price"), n(F.col("odd_price")).alias("odd_price"), n(F.col("promo")).alias("promo"),
         n(F.col("obj") & F.col("scraped").isNull()).alias("no_time"), n(F.coalesce(late, F.lit(False))).alias("late"), F.max("scraped").alias("newest"),
     )
-    codes = pairs.filter("code is not null").groupBy(*by, "code").agg(F.sum("rows").alias("rows"), F.count("ik").alias("iks"))
-    codes = codes.groupBy(*by).agg(F.sum("rows").alias("valid_barcodes"), F.sum(F.col("rows") - 1).alias("duplicate_barcodes"), F.count_if(F.col("iks") > 1).alias("conflicts"))
-    iks = pairs.filter("ik is not null").groupBy(*by, "ik").agg(F.sum("rows").alias("rows"))
-    iks = iks.groupBy(*by).agg(F.sum("rows").alias("identities"), F.sum(F.col("rows") - 1).alias("duplicate_identities"))
-    sums = pairs.groupBy(*by).agg(
+    # Identities of one barcode; rows without a barcode are spread by their identity.
+    spread = F.when(F.col("code").isNull(), F.xxhash64("ik"))
+    pairs = pairs.withColumn("iks", F.count("ik").over(Window.partitionBy(*by, "code", spread)))
+    coded, named = F.col("code").isNotNull(), F.col("ik").isNotNull()
+    out = pairs.groupBy(*by).agg(
         F.sum("rows").alias("product_count"), (F.sum("rows") - F.sum("objs")).alias("malformed_rows"), F.sum("bad_code").alias("invalid_barcodes"), F.sum("bad_price").alias("invalid_prices"), F.sum("odd_price").alias("suspicious_prices"),
         F.sum("promo").alias("promo_in_name"), F.sum("no_time").alias("missing_timestamps"), F.sum("late").alias("stale_rows"), F.max("newest").alias("newest_at"),
+        F.coalesce(F.sum(F.when(coded, F.col("rows"))), F.lit(0)).alias("valid_barcodes"), F.coalesce(F.sum(F.when(named, F.col("rows"))), F.lit(0)).alias("identities"),
+        F.count_distinct("code").alias("_codes"), F.count_distinct("ik").alias("_iks"), F.count_distinct(F.when(coded & (F.col("iks") > 1), F.col("code"))).alias("conflicts"),
     )
-    out = sums.join(codes, list(by), "left").join(iks, list(by), "left").fillna(0, ["valid_barcodes", "duplicate_barcodes", "conflicts", "identities", "duplicate_identities"])
+    out = out.withColumns({"duplicate_barcodes": F.col("valid_barcodes") - F.col("_codes"), "duplicate_identities": F.col("identities") - F.col("_iks")}).drop("_codes", "_iks")
     total = F.col("product_count")
     shares = {"barcode_coverage": "valid_barcodes", "invalid_price_rate": "invalid_prices", "suspicious_price_rate": "suspicious_prices", "duplicate_identity_rate": "duplicate_identities", "duplicate_barcode_rate": "duplicate_barcodes"}
     return out.withColumns({k: rate(F.col(v), total) for k, v in shares.items()})

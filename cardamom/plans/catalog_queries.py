@@ -236,12 +236,13 @@ _NOW = "2024-01-20 00:00:00"
 
 def _event_catalog(spark, sf_dir):
     ev = _table(spark, sf_dir, "events")
-    code = F.when(F.col("event_id") % 9 == 0, F.lit("123")).when(F.col("event_id") % 9 < 6, F.concat(F.lit("87"), F.lpad((F.col("user_id") * 70).cast("string"), 10, "0"), F.lit("x")))
-    digits = F.regexp_replace(code, "x", "")
+    twelve = F.col("user_id") * 70 + 870_000_000_000
+    digit = lambda k: F.call_function("div", twelve, F.lit(10 ** (12 - k))) % 10
     # the last digit that makes an EAN-13 of the twelve
-    check = sum((F.substring(digits, k, 1).try_cast("int") * (1 if k % 2 else 3) for k in range(1, 13)), F.lit(0))
-    b = F.when(F.col("event_id") % 9 == 0, F.lit("123")).otherwise(F.concat(digits, F.pmod(10 - check % 10, F.lit(10)).cast("string")))
-    return ev.select(F.lit("nl").alias("country"), F.col("event_type").alias("store"), F.concat_ws("-", F.col("user_id").cast("string"), (F.col("event_id") % 3).cast("string")).alias("ik"), b.alias("b"), F.when(F.col("event_id") % 10 == 0, F.lit("bad")).otherwise(P.two_decimals(F.col("value"))).alias("p"), F.lit("Kaas").alias("n"), F.when(F.col("event_id") % 8 != 0, F.col("ts").cast("timestamp")).alias("scraped"))
+    check = sum((digit(k) * (1 if k % 2 else 3) for k in range(1, 13)), F.lit(0))
+    made = F.concat(twelve.cast("string"), F.pmod(10 - check % 10, F.lit(10)).cast("string"))
+    b = F.when(F.col("event_id") % 9 == 0, F.lit("123")).when(F.col("event_id") % 9 < 6, made)
+    return T.once(ev, "b", b).select(F.lit("nl").alias("country"), F.col("event_type").alias("store"), F.concat_ws("-", F.col("user_id").cast("string"), (F.col("event_id") % 3).cast("string")).alias("ik"), "b", F.when(F.col("event_id") % 10 == 0, F.lit("bad")).otherwise(P.two_decimals(F.col("value"))).alias("p"), F.lit("Kaas").alias("n"), F.when(F.col("event_id") % 8 != 0, F.col("ts").cast("timestamp")).alias("scraped"))
 
 
 _HEALTH_SQL = f"""
@@ -335,8 +336,8 @@ def url_slug(spark, sf_dir):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS barcode FROM events")
 def json_props(spark, sf_dir):
-    row = F.try_parse_json("props")
-    return _table(spark, sf_dir, "events").select("event_id", F.try_variant_get(row, "$.k", "long").alias("k"), B.labelled_barcode(row).alias("barcode"))
+    rows = T.once(_table(spark, sf_dir, "events").select("event_id", "props"), "_row", F.try_parse_json("props"))
+    return rows.select("event_id", F.try_variant_get("_row", "$.k", "long").alias("k"), B.labelled_barcode(F.col("_row")).alias("barcode"))
 
 
 @query("SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events) WHERE rn <= 50")
