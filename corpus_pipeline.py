@@ -16,7 +16,7 @@ from cardamom.llm.mixing import RESERVED, mix
 from cardamom.llm.packing import pack
 from cardamom.llm.pii import redact
 from cardamom.llm.quality_classifier import classify
-from cardamom.llm.simhash import simhash_groups
+from cardamom.llm.simhash import similar_groups
 
 #: No stage after the first can be written in SQL: tests hold run() against brute force.
 ORACLE_SQL = None
@@ -31,9 +31,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of near-duplicates."""
+    """The document with the least doc_id of each group whose texts share 0.8 of their five-word shingles."""
     ship(spark)
-    groups = simhash_groups(docs)
+    groups = similar_groups(docs)
     kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
     rows = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))

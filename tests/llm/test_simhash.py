@@ -93,3 +93,19 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {k: 0 for k in range(201)} | {k: 1000 for k in range(1000, 1300)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_similar_groups_are_verified(spark):
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(400)]
+    base = rng.choices(words, k=200)
+    near, far = list(base), list(base)
+    near[100] = "changed"  # 10 of 201 shingles differ
+    for k in range(0, 200, 12):
+        far[k] = "other"  # most shingles differ
+    rows = [(4, " ".join(base)), (2, " ".join(near)), (9, " ".join(far)), (7, None), (8, ""), (5, " ".join(base)), (None, " ".join(base)), (3, "x y")]
+    got = {r["doc_id"]: r["component_id"] for r in S.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {4: 2, 2: 2, 5: 2, None: 2, 9: 9, 7: 7, 8: 7, 3: 3}
+    pairs = S._forest(np.arange(3000, dtype=np.uint64), 12)
+    assert len(pairs) == 2999
+    assert len(S._forest(np.array([0, 1, 3, 1 << 40, (1 << 40) + 7], np.uint64), 2)) == 2
