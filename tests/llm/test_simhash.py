@@ -108,4 +108,4 @@ def test_similar_groups_are_verified(spark):
     assert got == {4: 2, 2: 2, 5: 2, None: 2, 9: 9, 7: 7, 8: 7, 3: 3}
     pairs = S._forest(np.arange(3000, dtype=np.uint64), 12)
     assert len(pairs) == 2999
-    assert len(S._forest(np.array([0, 1, 3, 1 << 40, (1 << 40) + 7], np.uint64), 2)) == 2
+    assert len(S._forest(np.array([0, 1, 3, 1 << 40, (1 << 40) + 7], np.uint64), 2)) == 4
