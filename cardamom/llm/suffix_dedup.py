@@ -16,7 +16,8 @@ all strings that start at p are found at the anchor of p.
    length - o bytes is refined by the o bytes before; what holds two or more is a repeat.
 
 Suffixes of the whole text are never sorted at once, and no task holds more than
-the suffixes that share one prefix of ``length - 127`` bytes (by 128-bit hashes).
+the suffixes that share one prefix of ``length - 127`` bytes (by 128-bit hashes). Where
+these are over ``group_rows``, their strings are dealt out and counted by hash instead.
 
 Texts are UTF-8 bytes; null is empty. Repeated rows are copies, so they go if they are
 long enough. An empty table gives an empty result. Columns besides id and text do
@@ -37,6 +38,8 @@ from cardamom.llm._common import Staged
 from cardamom.llm.packing import chunks
 
 WINDOW, GRAM = 128, 32
+#: Suffixes that share a prefix and fit one task; beyond that their windows are dealt out by hash.
+GROUP_ROWS = 200_000
 BLOOM_BITS = 25
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -189,7 +192,7 @@ def merge_suffixes(prefix: np.ndarray, tails: np.ndarray, before: np.ndarray, le
     return out
 
 
-def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, binary, with ``with_text``)."""
     if length < 2 * WINDOW:
         raise ValueError(f"length must be {2 * WINDOW} or more")
@@ -258,8 +261,36 @@ def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("k1", "k2", "at")), pa.array(bits, pa.binary())], names=["k1", "k2", "at", "bits"])
 
     schema = "f1 long, f2 long, k1 long, k2 long, at binary, n long, least short, most short, tail binary, before binary"
-    rows = live.mapInArrow(suffixes, schema).repartition("f1").sortWithinPartitions("f1", "f2")
-    marks = rows.mapInArrow(merge, "k1 long, k2 long, at binary, bits binary")
+    rows = Staged(live.mapInArrow(suffixes, schema), "repeats-suffixes").read()
+    large = rows.groupBy("f1").agg(F.count("*").alias("rows")).filter(F.col("rows") > group_rows).select("f1")
+    found = "k1 long, k2 long, at binary, bits binary"
+    marks = rows.join(large, "f1", "left_anti").repartition("f1").sortWithinPartitions("f1", "f2").mapInArrow(merge, found)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A 128-bit hash of each string of ``length`` bytes, for suffixes of large groups."""
+        import xxhash
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                each = range(r["least"], r["most"] + 1)
+                head = r["f1"].to_bytes(8, "little", signed=True) + r["f2"].to_bytes(8, "little", signed=True)
+                keys = b"".join(xxhash.xxh3_128_digest(head + bytes([o]) + r["before"][:o] + r["tail"][: WINDOW - 1 - o]) for o in each)
+                h = np.frombuffer(keys, "<i8").reshape(-1, 2)
+                n = len(h)
+                yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), *(pa.array([r[c]] * n, t) for c, t in (("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.binary()), ("n", pa.int64()))), pa.array(np.array(each, np.int32))], names=["h1", "h2", "k1", "k2", "at", "n", "o"])
+
+    def masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mask = np.zeros((batch.num_rows, WINDOW), bool)
+            for k, o in enumerate(batch.column(3).to_pylist()):
+                mask[k, o] = True
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x.tobytes() for x in np.packbits(mask, axis=1)], pa.binary())], names=["k1", "k2", "at", "bits"])
+
+    cols = rows.join(large, "f1", "left_semi").select("f1", "f2", "k1", "k2", "at", "n", "least", "most", "tail", "before")
+    wins = cols.mapInArrow(windows, "h1 long, h2 long, k1 long, k2 long, at binary, n long, o int")
+    twice = wins.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter("n > 1").select("h1", "h2")
+    hits = wins.join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2", "at").agg(F.collect_set("o").alias("os"))
+    marks = marks.unionByName(hits.mapInArrow(masks, found))
 
     def cut(key: tuple, text: pa.Table, own: pa.Table) -> pa.Table:
         out: list[tuple] = []

@@ -21,8 +21,8 @@ def brute(texts, length=400):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_matches_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,group_rows", [(1, 200_000), (2, 200_000), (2, 0), (3, 3)])
+def test_matches_brute_force(spark, seed, group_rows):
     rng = random.Random(seed)
     base = ["".join(rng.choices("ab c", k=3000)) for _ in range(3)]
     rows = []
@@ -33,7 +33,7 @@ def test_matches_brute_force(spark, seed):
             s += rng.choice(base)[a : a + rng.randint(0, 900)] if rng.random() < 0.6 else "".join(rng.choices("abcdé", k=rng.randint(0, 500)))
         rows.append((i, s))
     rows += [(100, "a" * 5000), (101, "of " * 300), (102, None), (103, ""), (104, "x" * 399), (105, "y" * 400), (106, "z" * 401), (107, "q w" * 500 + "k" * 450), (108, rows[0][1]), (108, rows[0][1]), (None, base[0][:450])]
-    out = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True).toPandas()
+    out = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), with_text=True, group_rows=group_rows).toPandas()
     key = lambda r: (-1 if r[0] is None or r[0] != r[0] else r[0], r[1:])
     got = sorted(out[["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]].itertuples(index=False, name=None), key=key)
     want = sorted(((i, *x) for (i, _), x in zip(rows, brute([(t or "").encode() for _, t in rows]), strict=True)), key=key)
