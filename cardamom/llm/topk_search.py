@@ -23,6 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cardamom.llm._common import Staged
+
 BLOCK = "range_id long, block long, dim int, n int, ids binary, vals binary, top binary, low binary"
 BLOCK_ROWS, RANGE_BLOCKS, QUERY_ROWS = 256, 64, 1024
 
@@ -126,9 +128,9 @@ def _search(queries: pa.Table, blocks: pa.Table, k: int) -> list[tuple]:
 
 def topk_search(df: DataFrame, is_query: Column, *, k: int = 10, scale: float = 1024.0, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """For each row where ``is_query``: query_id, rank (from 1), vec_id, score of its k best rows of another id."""
-    spark = df.sparkSession
-    blocks = _blocks(df, id_col, vec_col, scale, BLOCK_ROWS, RANGE_BLOCKS)
-    asked = _blocks(df.filter(is_query), id_col, vec_col, scale, QUERY_ROWS, 1)
+    # Written down, so that all that follows sees the same blocks.
+    blocks = Staged(_blocks(df, id_col, vec_col, scale, BLOCK_ROWS, RANGE_BLOCKS), "search-blocks").read()
+    asked = Staged(_blocks(df.filter(is_query), id_col, vec_col, scale, QUERY_ROWS, 1), "search-queries").read()
     # Every range meets every block of queries: both tables are far smaller than their product,
     # and each pair is one group of bounded size.
     q_keys = asked.select(F.col("block").alias("q"), F.col("dim").alias("q_dim"))
