@@ -62,9 +62,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Rows in a batch for Python, unless the session sets another number: texts are long.
+BATCH_ROWS = 2000
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once for each application."""
-    sc = spark.sparkContext
+    """Send this package to the executors' Python, once for each application, and make batches small."""
+    sc, rows = spark.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":  # Spark's default
+        spark.conf.set(rows, BATCH_ROWS)
     if getattr(sc, "_cardamom_sent", False):
         return
     top = Path(__file__).resolve().parents[1]

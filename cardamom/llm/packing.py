@@ -28,7 +28,7 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()), ("open", pa.bool_())])
 LETTER_MARK = r"([a-zß-öø-ÿ])([!-/:-@\[-`{-~])"
 #: Entries of a worker's memory of encoded words; beyond that it starts anew.
-MEMORY = 400_000
+MEMORY = 300_000
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -90,6 +90,7 @@ def chunks(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[
         end = max(at + 1, int(np.searchsorted(sizes, before + most, "right")))
         yield batch.slice(at, end - at)
         at = end
+    pa.default_memory_pool().release_unused()
 
 
 class Packer:

@@ -162,8 +162,9 @@ def _forest(v: np.ndarray, limit: int, nearest: int = 0) -> list[tuple[int, int]
     if len(v) == 2:
         return [(v[0], v[1])] if int(v[0] ^ v[1]).bit_count() <= limit else []
     found, total = [], 0
-    for a in range(0, len(v) - 1, 256):
-        d = np.bitwise_count(v[a : a + 256, None] ^ v[None, a:])
+    rows = max(16, (1 << 21) // len(v))  # 16 MB at a time
+    for a in range(0, len(v) - 1, rows):
+        d = np.bitwise_count(v[a : a + rows, None] ^ v[None, a:])
         i, j = np.nonzero(d <= limit)
         up = j > i
         i, j = i[up], j[up]
@@ -197,7 +198,7 @@ def _forest(v: np.ndarray, limit: int, nearest: int = 0) -> list[tuple[int, int]
     return links
 
 
-def near_links(nodes: DataFrame, limit: int, block: int = 16_384, nearest: int = 0) -> DataFrame:
+def near_links(nodes: DataFrame, limit: int, block: int = 8_192, nearest: int = 0) -> DataFrame:
     """(a, b): fingerprints within ``limit`` bits; of each group the closest links that keep together what is linked."""
     n, both = bit_statistics(nodes)
     parts, thresholds = allocate(n, both, limit)
