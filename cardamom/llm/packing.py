@@ -186,7 +186,7 @@ def pack(df: DataFrame, tokenizer: str, *, length: int = 2048, open_windows: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         packer = Packer(length, open_windows, TaskContext.get().partitionId() << 32)
-        for batch in (x for whole in batches for x in chunks(whole, 1)):
+        for batch in (x for whole in batches for x in chunks(whole, 1, 8 << 20)):
             ids, at = encode(batch.column(1))
             for k, doc_id in enumerate(batch.column(0).to_pylist()):
                 packer.add(doc_id, ids[at[k] : at[k + 1]].tobytes() + end)
