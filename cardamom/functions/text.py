@@ -144,3 +144,8 @@ def is_category_page(url: Column) -> Column:
 
 def taxonomy_id(url: Column) -> Column:
     return blank_to_null(F.regexp_extract(url, r"/producten/(\d+)/", 1))
+
+
+def is_optional_category(name: Column, url: Column, names: Iterable[str] = (), url_parts: Iterable[str] = ()) -> Column:
+    """Whether a category may be empty without failing its run: by its name or a part of its URL."""
+    return F.coalesce(name.isin(*names) if names else F.lit(False), F.lit(False)) | F.coalesce(holds_any(url, url_parts), F.lit(False))

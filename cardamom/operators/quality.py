@@ -46,3 +46,8 @@ def markdown(report: DataFrame) -> str:
     head = ["| Country | Store | Total | Barcode | Identity | Brand | Weight | Promo | Dup ik |", "|---------|-------|------:|--------:|---------:|------:|-------:|------:|-------:|"]
     body = [f"| {r['country']} | {r['store']} | {r['total']} | {r['with_barcode']} ({100 * r['with_barcode'] / (r['total'] or 1):.0f}%) | {r['with_identity']} | {r['with_brand']} | {r['with_weight']} | {r['promo_in_name']} | {r['duplicate_identity']} |" for r in report.orderBy("country", "store").collect()]
     return "\n".join(head + body)
+
+
+def promo_gate(report: DataFrame, store: str = "lidl") -> DataFrame:
+    """Reports of a store that has promotional names left: rows are violations."""
+    return report.filter((F.col("store") == store) & (F.col("promo_in_name") > 0))

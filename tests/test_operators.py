@@ -145,3 +145,12 @@ def test_sets(spark):
     assert [r["path"] for r in sets.removable_paths(paths("bbac"), paths("c")).collect()] == ["a", "b"]
     nested = sets.nested(spark.createDataFrame([("s", 2, "y"), ("s", 1, "x")], "n string, o int, v string"), ["n"], "o").first()
     assert [x["v"] for x in nested["d"]] == ["x", "y"]
+
+
+def test_small_gates(spark):
+    from cardamom.functions import text as T
+
+    report = spark.createDataFrame([("nl", "lidl", 2), ("nl", "plus", 5), ("nl", "dirk", 0)], "country string, store string, promo_in_name long")
+    assert quality.promo_gate(report).count() == 1 and quality.promo_gate(report, "dirk").count() == 0
+    df = spark.createDataFrame([("bbq", "x/y"), ("kaas", "x/seizoen"), ("kaas", "x"), (None, None)], "n string, u string")
+    assert [r[0] for r in df.select(T.is_optional_category(F.col("n"), F.col("u"), ["bbq"], ["seizoen"])).collect()] == [True, True, False, False]
