@@ -28,14 +28,15 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary()), ("open", pa.bool_())])
 LETTER_MARK = r"([a-zß-öø-ÿ])([!-/:-@\[-`{-~])"
 #: Entries of a worker's memory of encoded words; beyond that it starts anew.
-MEMORY = 300_000
+MEMORY = 600_000
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, memory: int) -> WordEncoder:
     """A worker's encoder; it keeps its memory from task to task."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+    _ENCODERS[path].memory = memory
     return _ENCODERS[path]
 
 
@@ -47,9 +48,10 @@ class WordEncoder:
     parts, one after another. Only where texts hold "<|", which may begin
     a special token, or combining marks are they cut at spaces alone."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMORY):
         from tokenizers import Tokenizer
 
+        self.memory = memory
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
@@ -64,7 +66,7 @@ class WordEncoder:
         coded = parts.flatten().dictionary_encode()
         words, seen = coded.dictionary.to_pylist(), self.seen
         new = [x for x in words if x not in seen]
-        if len(seen) + len(new) > MEMORY:
+        if len(seen) + len(new) > self.memory:
             seen.clear()
             new = words
         for x, e in zip(new, self.batch(new, add_special_tokens=False), strict=True):
@@ -176,7 +178,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), ARROW.types, strict=True)], schema=ARROW)
 
 
-def pack(df: DataFrame, tokenizer: str, *, length: int = 2048, open_windows: int = 16, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(df: DataFrame, tokenizer: str, *, length: int = 2048, open_windows: int = 16, end_id: int = 1, memory: int = MEMORY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces: doc_id, start, length, doc_tokens, sequence_id, offset, ids (binary, 32-bit little-endian).
 
     A document's ids are its text's with ``end_id`` after them. ``tokenizer`` is the
@@ -184,7 +186,7 @@ def pack(df: DataFrame, tokenizer: str, *, length: int = 2048, open_windows: int
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, memory)
         packer = Packer(length, open_windows, TaskContext.get().partitionId() << 32)
         for batch in (x for whole in batches for x in chunks(whole, 1, 8 << 20)):
             ids, at = encode(batch.column(1))

@@ -59,7 +59,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
     ship(spark)
-    pieces = pack(docs, public_tokenizers.path(TOKENIZER))
+    pieces = pack(docs, public_tokenizers.path(TOKENIZER), memory=200_000)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
