@@ -109,3 +109,53 @@ def test_similar_groups_are_verified(spark):
     pairs = S._forest(np.arange(3000, dtype=np.uint64), 12)
     assert len(pairs) == 2999
     assert len(S._forest(np.array([0, 1, 3, 1 << 40, (1 << 40) + 7], np.uint64), 2)) == 4
+
+
+def jaccard_groups(rows, similarity=0.8, width=5):
+    """{doc_id: least doc_id of its group}, all pairs compared."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({b" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))})
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                parent[root(i)] = root(j)
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least[root(k)] = min(i, least.get(root(k), i))
+    return {i: least[root(k)] for k, (i, _) in enumerate(rows)}
+
+
+def test_similar_groups_match_all_pairs(spark):
+    """Hubs whose variants are unlike each other, groups of near copies and pairs around the limit."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(600)]
+    rows = []
+
+    def changed(t, count, at=0):
+        u = list(t)
+        for k in range(count):
+            u[(at + 12 * k) % len(u)] = f"new{rng.random()}"
+        return u
+
+    for _ in range(3):
+        hub = rng.choices(words, k=240)
+        rows.append(hub)
+        rows += [changed(hub, 4, 17 * v) for v in range(40)]  # 0.85 to the hub, 0.7 or so to each other
+    for _ in range(40):
+        base = rng.choices(words, k=150)
+        rows += [base, changed(base, rng.randint(1, 5), rng.randrange(150))]
+    dense = rng.choices(words, k=200)
+    rows += [changed(dense, 1, k) for k in range(150)]
+    rng.shuffle(rows)
+    rows = [(k, " ".join(t)) for k, t in enumerate(rows)]
+    got = dict(map(tuple, S.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == jaccard_groups(rows)
