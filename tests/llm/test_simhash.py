@@ -159,3 +159,17 @@ def test_similar_groups_match_all_pairs(spark):
     rows = [(k, " ".join(t)) for k, t in enumerate(rows)]
     got = dict(map(tuple, S.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
     assert got == jaccard_groups(rows)
+
+
+def test_equal_fingerprints_are_verified(spark):
+    """Unlike texts with one fingerprint, as a repeated passage outvotes their own words, stay apart."""
+    rng = random.Random(13)
+    passage = [f"p{k}" for k in range(9)]
+    rows = []
+    for k in range(12):
+        own = [f"own{rng.randrange(10**9)}" for _ in range(600)]
+        rows.append((k, " ".join(own + passage * (7 * len(own) // 27))))
+    rows += [(100 + k, t) for k, t in rows[:2]]
+    assert len({S.fingerprint(t) for _, t in rows}) == 1
+    got = dict(map(tuple, S.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == {k: k % 100 for k, _ in rows} == jaccard_groups(rows)
