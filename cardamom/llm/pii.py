@@ -3,9 +3,10 @@
 Base entities (email, ip, card, phone) are the seeds. A lexical pattern is the word
 before an entity: the label before "=" or ":" in its own token, or else the nearest
 earlier word with a letter. Spark holds the graph of patterns and instances and scores
-it in rounds: a pattern's confidence is the summed score of its instances over all
-occurrences of its word in the corpus; an instance's score is the best confidence of
-a trusted pattern. Tokens with digits that stand after trusted patterns become spans
+it in rounds until nothing is added: a pattern's confidence is the summed score of its
+instances over all occurrences of its word in the corpus; an instance's score is the best
+confidence of a trusted pattern, and found instances make further patterns trusted as
+seeds do. Tokens with digits that stand after trusted patterns become spans
 of kind "id".
 
 Offsets are code points, ends exclusive. Null text is empty. Repeated rows each get
@@ -191,23 +192,32 @@ def _word_counts(df: DataFrame, text_col: str, patterns: DataFrame) -> DataFrame
     return df.select(F.col(text_col).alias("text")).mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("total"))
 
 
-def trusted_patterns(df: DataFrame, found: DataFrame, text_col: str, *, rounds: int = 3, support: int = 3, confidence: float = 0.5) -> DataFrame:
-    """(pattern, confidence) of the patterns that ``rounds`` of scoring over the graph trust."""
+def trusted_patterns(df: DataFrame, found: DataFrame, text_col: str, *, support: int = 3, confidence: float = 0.5) -> DataFrame:
+    """(pattern, confidence) of the patterns that scoring over the graph trusts, seeds and found values alike as evidence.
+
+    Scores only rise, so rounds end: when none adds a pattern and all confidences together move by less than 1e-6."""
     each = found.select("row_key", F.explode("mentions").alias("m")).select("m.*")
     graph = Staged(each.groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pii-graph").read()
-    seeded = graph.groupBy("pattern").agg(F.sum(F.col("seed").cast("long")).alias("seeds"), F.count("*").alias("kinds")).filter(F.col("kinds") >= support).filter("seeds > 0").select("pattern")
-    totals = Staged(_word_counts(df, text_col, seeded).join(seeded, "pattern", "left_semi"), "pii-totals").read()
-    edges = graph.join(totals, "pattern")
-    values = graph.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("score"))
-    good = None
-    for _ in range(rounds):
-        scored = edges.join(values, "value")
+    # A pattern of fewer values is never trusted; all others are counted in one pass, as any round may reach them.
+    wide = graph.groupBy("pattern").agg(F.count("*").alias("kinds")).filter(F.col("kinds") >= support).select("pattern")
+    totals = Staged(_word_counts(df, text_col, wide).join(wide, "pattern", "left_semi"), "pii-totals").read()
+    seeds = graph.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("seed"))
+    edges = Staged(graph.drop("seed").join(totals, "pattern").join(seeds, "value"), "pii-edges").read()
+    good, state = None, None
+    while True:
+        if good is None:
+            scored = edges.withColumn("score", F.col("seed"))
+        else:
+            lifted = edges.join(good.read(), "pattern").groupBy("value").agg(F.max("confidence").alias("lift"))
+            scored = edges.join(lifted, "value", "left").withColumn("score", F.greatest("seed", F.coalesce("lift", F.lit(0.0))))
         weight = F.sum(F.col("n") * F.col("score")) / F.greatest(F.max("total"), F.sum("n"))
-        good = scored.groupBy("pattern").agg(weight.alias("confidence"), F.sum((F.col("score") >= confidence).cast("long")).alias("held")).filter((F.col("held") >= support) & (F.col("confidence") >= confidence)).select("pattern", "confidence")
-        lifted = edges.join(good, "pattern").groupBy("value").agg(F.max("confidence").alias("lift"))
-        seeds = graph.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("seed"))
-        values = seeds.join(lifted, "value", "left").select("value", F.greatest("seed", F.coalesce("lift", F.lit(0.0))).alias("score"))
-    return good
+        new = scored.groupBy("pattern").agg(weight.alias("confidence"), F.sum((F.col("score") >= confidence).cast("long")).alias("held"))
+        good = Staged(new.filter((F.col("held") >= support) & (F.col("confidence") >= confidence)).select("pattern", "confidence"), "pii-trusted")
+        row = good.read().agg(F.count("*").alias("n"), F.sum("confidence").alias("s")).first()
+        now = (row["n"], row["s"] or 0.0)
+        if not now[0] or (state and now[0] == state[0] and now[1] - state[1] < 1e-6):
+            return good.read()
+        state = now
 
 
 def find_pii(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **scoring) -> DataFrame:

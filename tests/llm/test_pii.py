@@ -60,3 +60,13 @@ def test_redaction(spark, rows):
     assert (3, "foo bar contact: <PHONE> baz") in got
     both = spark.createDataFrame([(1, "a 1.2.3.4@x.yy b")], "doc_id long, text string")  # an address within an address
     assert P.redact(both).first()["text"] == "a <EMAIL> b"
+
+
+def test_found_values_teach_further_contexts(spark):
+    """Values found after a seeded context make "badge" trusted, and those found there "locker" in turn."""
+    rows = [(k, f"foo contact: +1 ({500 + k}) 555-1{k:03d} baz") for k in range(20)]
+    rows += [(100 + k, f"bar contact: x-{k}88213 baz") for k in range(4)] + [(200 + k, f"bar badge x-{k}88213 baz") for k in range(4)]
+    rows += [(300 + k, f"bar badge y-{k}77512 baz") for k in range(3)] + [(400 + k, f"bar locker y-{k}77512 baz") for k in range(3)]
+    rows += [(500, "bar locker z-991827 baz"), (600, "bar room z-991828 baz")]
+    got = {r["doc_id"]: len(r["added_spans"]) for r in P.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, n in got.items() if n} == {i for i, _ in rows if 100 <= i < 600}
