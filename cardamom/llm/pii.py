@@ -6,8 +6,9 @@ earlier word with a letter. Spark holds the graph of patterns and instances and
 it in rounds until nothing is added: a pattern's confidence is the summed score of its
 instances over all occurrences of its word in the corpus; an instance's score is the best
 confidence of a trusted pattern, and found instances make further patterns trusted as
-seeds do. Tokens with digits that stand after trusted patterns become spans
-of kind "id".
+seeds do. Instances that stand after trusted patterns become spans of kind "id": tokens
+with digits, and digit groups that single blanks join (of any length, but those of fewer
+than 6 characters or 3 digits are no evidence for a pattern).
 
 Offsets are code points, ends exclusive. Null text is empty. Repeated rows each get
 a row. An empty table gives an empty result. Columns besides id and text do not matter."""
@@ -35,7 +36,11 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT_TOKEN = re.compile(r"[0-9][^ \t-\r]*")
 BLANK = " \t\n\x0b\x0c\r"
 LABEL = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]*[=:])[\"']?$")
-#: An instance is a token of at least so many characters, so many of them digits.
+#: Blank-separated groups of digits, and of capitals between them, may be pieces of one instance.
+PIECE = re.compile(r"[+(]?[0-9A-Z][0-9A-Z().+/-]*")
+#: Not a label: groups of hexadecimal digits with colons.
+HEX_GROUPS = re.compile(r"(?:[0-9A-Fa-f]{0,4}:){2}")
+#: Shorter values stand in too many contexts to teach a pattern; they are found like any other.
 LEAST_CHARS, LEAST_DIGITS = 6, 3
 
 
@@ -99,30 +104,84 @@ def _before(text: str, start: int) -> str | None:
     return None
 
 
+def _label(token: str) -> tuple[str, int] | None:
+    """(label in lower case, its end) of a token with a label glued to its value by "=" or ":"."""
+    at = {c: token.find(c) for c in "=:"}
+    for c, cut in sorted(at.items(), key=lambda x: x[1]):
+        if cut < 0:
+            continue
+        head = token[max(0, cut - 64) : cut + 1]
+        m = LABEL.search(head)
+        # A colon also stands within values: its label starts the token.
+        if m and (c == "=" or (cut < 64 and not head[: m.start()].strip("\"'([{<") and not HEX_GROUPS.match(token))):
+            return m.group(1).lower(), cut + 1
+    return None
+
+
+def _bare(text: str, a: int, b: int) -> tuple[int, int]:
+    while a < b and text[a] in "\"'([{<":
+        a += 1
+    while b > a and text[b - 1] in "\"')]}>.,;:!?":
+        b -= 1
+    return a, b
+
+
+def _run(text: str, a: int, end: int, stop: int) -> int:
+    """Where the instance ends that begins with the token [a, end): the last digit group of those joined by single blanks."""
+    last = at = end
+    if not PIECE.fullmatch(text, a, end):
+        return end
+    while at < stop and text[at : at + 1] in (" ", "\t") and text[at - 1] not in ".,;:!?":
+        m = PIECE.match(text, at + 1, stop)
+        if not m:
+            break
+        to = m.end()
+        tail = text[to : to + 1]
+        if tail and tail not in BLANK:
+            closing = _closes(text, to)
+            if closing and any("0" <= c <= "9" for c in m.group()):
+                last = to
+            break
+        at = to
+        if any("0" <= c <= "9" for c in m.group()):
+            last = at
+    return last
+
+
+def _closes(text: str, at: int) -> bool:
+    """Whether only closing marks stand from here to the end of the token."""
+    while at < len(text) and text[at] in "\"')]}>.,;:!?":
+        at += 1
+    return at == len(text) or text[at] in BLANK
+
+
 def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str, str, bool]]:
-    """(start, end, value, pattern, is seed) of the base spans and of other tokens with digits."""
+    """(start, end, value, pattern, is seed) of the base spans and of other instances with digits.
+
+    An instance is a token, or digit groups that single blanks join."""
     out, taken = [], sorted((a, b) for _, a, b in spans)
     for _, a, b in spans:
         if p := _before(text, a):
             out.append((a, b, text[a:b].lower(), p, True))
-    k = 0
+    k = done = 0
     for m in DIGIT_TOKEN.finditer(text):
         a, b = m.span()
+        if a < done:
+            continue
         while a and text[a - 1] not in BLANK:
             a -= 1
-        pattern, cut = None, text.find("=", a, b)
-        if cut >= 0 and (label := LABEL.search(text[max(a, cut - 64) : cut + 1])):
-            pattern, a = label.group(1).lower(), cut + 1
-        while a < b and text[a] in "\"'([{<":
-            a += 1
-        while b > a and text[b - 1] in "\"')]}>.,;:!?":
-            b -= 1
-        if b - a < LEAST_CHARS or sum("0" <= c <= "9" for c in text[a:b]) < LEAST_DIGITS:
-            continue
+        pattern = None
+        if label := _label(text[a:b]):
+            pattern, a = label[0], a + label[1]
         while k < len(taken) and taken[k][1] <= a:
             k += 1
-        if k < len(taken) and taken[k][0] < b:
+        a, end = _bare(text, a, b)
+        if a == end or (k < len(taken) and taken[k][0] < end):
             continue
+        if end == b or text[end:b] == ")":
+            end = _run(text, a, b, taken[k][0] if k < len(taken) else len(text))
+        a, b = _bare(text, a, end)
+        done = b
         if pattern := pattern or _before(text, a):
             out.append((a, b, text[a:b].lower(), pattern, False))
     return out
@@ -185,8 +244,8 @@ def _word_counts(df: DataFrame, text_col: str, patterns: DataFrame) -> DataFrame
                 x = h(w, 42) & mask
                 if held[x >> 5] >> (x & 31) & 1:
                     sums[w] = sums.get(w, 0) + n
-                if "=" in w and (m := LABEL.search(w[: w.index("=") + 1])):
-                    sums[m.group(1)] = sums.get(m.group(1), 0) + n
+                if ("=" in w or ":" in w[:-1]) and (label := _label(w)) and label[0] != w:
+                    sums[label[0]] = sums.get(label[0], 0) + n
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], names=["pattern", "n"])
 
     return df.select(F.col(text_col).alias("text")).mapInArrow(run, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("total"))
@@ -197,7 +256,8 @@ def trusted_patterns(df: DataFrame, found: DataFrame, text_col: str, *, support:
 
     Scores only rise, so rounds end: when none adds a pattern and all confidences together move by less than 1e-6."""
     each = found.select("row_key", F.explode("mentions").alias("m")).select("m.*")
-    graph = Staged(each.groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pii-graph").read()
+    firm = (F.length("value") >= LEAST_CHARS) & (F.length(F.regexp_replace("value", "[^0-9]", "")) >= LEAST_DIGITS)
+    graph = Staged(each.filter(F.col("seed") | firm).groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pii-graph").read()
     # A pattern of fewer values is never trusted; all others are counted in one pass, as any round may reach them.
     wide = graph.groupBy("pattern").agg(F.count("*").alias("kinds")).filter(F.col("kinds") >= support).select("pattern")
     totals = Staged(_word_counts(df, text_col, wide).join(wide, "pattern", "left_semi"), "pii-totals").read()

@@ -70,3 +70,18 @@ def test_found_values_teach_further_contexts(spark):
     rows += [(500, "bar locker z-991827 baz"), (600, "bar room z-991828 baz")]
     got = {r["doc_id"]: len(r["added_spans"]) for r in P.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert {i for i, n in got.items() if n} == {i for i, _ in rows if 100 <= i < 600}
+
+
+def test_instances_of_several_groups_and_glued_labels(spark):
+    rows = [(k, f"foo phone: +1 ({500 + k}) 555-1{k:03d} baz") for k in range(20)] + [(50 + k, f"foo phone:+1{5550000000 + k} baz") for k in range(9)]
+    cases = ["555 123 4567", "078 05 1120", "GB29 NWBK 6016 1331", "4411", "(555) 123 4567", "00:1b:44:11:3a:b7"]
+    rows += [(100 + k, f"bar phone: {c}, and 17 more") for k, c in enumerate(cases)] + [(200 + k, f"bar phone:{c} and 17 more") for k, c in enumerate(cases)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in P.redact(df).collect()}
+    for k in range(len(cases)):
+        assert got[100 + k].replace("(<", "<") == "bar phone: <ID>, and 17 more"
+        assert got[200 + k].replace("(<", "<") == "bar phone:<ID> and 17 more"
+    values = lambda t: [(v, p) for _, _, v, p, _ in P.mentions(t, P.base_spans(t))]
+    assert values("at 2020-01-01T10:30 x") == [("2020-01-01t10:30", "at")]
+    assert values("mac 00:1b:44:11:3a:b7 or aa:bb:cc:11:22:33 x") == [("00:1b:44:11:3a:b7", "mac"), ("aa:bb:cc:11:22:33", "or")]
+    assert values("key 12 a 34") == [("12", "key"), ("34", "a")] and values("id 12. 34\n6") == [("12", "id"), ("34", "id"), ("6", "id")]
