@@ -27,3 +27,21 @@ def test_notices(spark):
 def test_empty_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "x", "d", "l")], "doc_id long, text string, digest string, license_id string")
     assert license_scan(df).count() == 1 and license_scan(df.limit(0)).count() == 0
+
+
+def test_common_licences_and_headers(spark):
+    from pathlib import Path
+
+    from cardamom.llm.license_scan import DIGESTS
+
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "Unlicense", "CC0-1.0"} <= set(DIGESTS)
+    rows = [(1, '# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file'), (2, "// SPDX-License-Identifier: GPL-3.0\nx")]
+    want = {1: (None, "Apache-2.0"), 2: (None, "GPL-3.0")}
+    for k, (name, file) in enumerate({"Apache-2.0": "Apache-2.0", "GPL-3.0": "GPL-3", "CC0-1.0": "CC0-1.0"}.items()):
+        p = Path("/usr/share/common-licenses", file)
+        if p.exists():
+            rows.append((10 + k, p.read_text("utf-8")))
+            want[10 + k] = (name, None)
+    got = {r["doc_id"]: r for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (whole, line) in want.items():
+        assert got[i]["license_id"] == whole and (line is None or got[i]["notice_ids"] == line)
