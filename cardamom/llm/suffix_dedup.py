@@ -1,23 +1,23 @@
 """Exact removal of long repeats by merging sparse suffix arrays and their Burrows-Wheeler columns.
 
 Every byte that a string of ``length`` bytes covers goes if the string starts
-anywhere else too. Only sampled suffixes are sorted: of each 128 positions in a row
+anywhere else too. Besides, the bytes that repeated strings of ``passage`` bytes cover are
+counted. Only sampled suffixes are sorted: of each 128 positions in a row
 the one whose 32 bytes hash least is an anchor, so equal strings have equal anchors and
 all strings that start at p are found at the anchor of p.
 
-1. Texts that are the same are one text. Anchors whose next ``length - 127`` bytes
+1. Texts that are the same are one text. Anchors whose next ``passage - 127`` bytes
    occur once in the corpus are left out: nothing at them repeats.
 2. Each shard of texts yields the suffixes at its anchors and, as their
    Burrows-Wheeler columns, the up to 127 bytes before them.
-3. Suffixes with the same first bytes meet in one task, which merges the shards'
-   by refining their interleave: intervals that agree in k words are split by the next word,
-   those of one suffix are done. The splits give the common prefixes of neighbours.
+3. The shards' suffixes are dealt out by ranges of their order, so many that share one prefix
+   are several tasks' work. A task merges its shards' by refining their interleave: intervals
+   that agree in k words are split by the next word, those of one suffix are done. The splits
+   give the common prefixes of neighbours.
 4. Going backwards through the columns, an interval of suffixes that agree in
    length - o bytes is refined by the o bytes before; what holds two or more is a repeat.
-
-Suffixes of the whole text are never sorted at once, and no task holds more than
-the suffixes that share one prefix of ``length - 127`` bytes (by 128-bit hashes). Where
-these are over ``group_rows``, their strings are dealt out and counted by hash instead.
+5. An interval at the edge of a range may go on in the next one: its strings that are single in
+   their range are settled by joining the 128-bit hashes of the edges' strings.
 
 Texts are UTF-8 bytes; null is empty. Repeated rows are copies, so they go if they are
 long enough. An empty table gives an empty result. Columns besides id and text do
@@ -38,9 +38,9 @@ from cardamom.llm._common import Staged
 from cardamom.llm.packing import chunks
 
 WINDOW, GRAM = 128, 32
-#: Suffixes that share a prefix and fit one task; beyond that their windows are dealt out by hash.
-GROUP_ROWS = 200_000
 BLOOM_BITS = 25
+FOUND = "k1 long, k2 long, at binary, bits binary, h1 long, h2 long, n long, o int, single boolean"
+FOUND_NAMES = [x.split()[0] for x in FOUND.split(", ")]
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -90,9 +90,13 @@ def _listed(df: DataFrame, length: int) -> DataFrame:
     """(f, k1, twice) of each text's distinct anchors: prefix, text key, whether it stands there twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()  # copies are listed once in a task
         for batch in (x for whole in batches for x in chunks(whole, 1)):
             fs, ks, ts = [], [], []
             for k1, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if k1 in done:
+                    continue
+                done.add(k1)
                 data = text.as_buffer().to_pybytes()
                 at, _, _ = anchors(data, length)
                 if len(at):
@@ -128,11 +132,26 @@ def _grouped(batches: Iterator[pa.RecordBatch], by: str, least: int) -> Iterator
         yield pa.Table.from_batches(held)
 
 
+def _with_ends(tables: Iterator[pa.Table]) -> Iterator[tuple[pa.Table, bool, bool]]:
+    """Each table, whether it is the first, and whether it is the last."""
+    held, first = None, True
+    for t in tables:
+        if held is not None:
+            yield held, first, False
+            first = False
+        held = t
+    if held is not None:
+        yield held, first, True
+
+
 def _shared(listed: DataFrame) -> DataFrame:
-    """(k1, f): the prefixes that stand twice in a text or in two texts."""
+    """(k1, f): the prefixes that stand twice in a text or in two texts.
+
+    Rows are dealt out by ranges of (f, k1), so a prefix of very many texts is several tasks'
+    work. Whether the first and last prefix of a range go on in another is told by joining these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _grouped(batches, "f", 100_000):
+        for t, first, last in _with_ends(_grouped(batches, "f", 100_000)):
             f, k, twice = (t.column(c).to_numpy(zero_copy_only=False) for c in ("f", "k1", "twice"))
             new = np.concatenate(([True], (f[1:] != f[:-1]) | (k[1:] != k[:-1])))
             start = np.flatnonzero(new)
@@ -140,69 +159,87 @@ def _shared(listed: DataFrame) -> DataFrame:
             f, k = f[start], k[start]
             group = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
             n = np.diff(np.append(group, len(f)))
-            keep = np.repeat((n > 1) | np.logical_or.reduceat(twice, group), n)
+            sure = np.repeat((n > 1) | np.logical_or.reduceat(twice, group), n)
+            edge = (first & (f == f[0])) | (last & (f == f[-1]))
+            keep = sure | edge
             if keep.any():
-                yield pa.RecordBatch.from_arrays([pa.array(k[keep]), pa.array(f[keep])], names=["k1", "f"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (k, f, sure, edge)], names=["k1", "f", "sure", "edge"])
 
-    return listed.repartition("f").sortWithinPartitions("f", "k1").mapInArrow(run, "k1 long, f long")
+    ranges = listed.repartitionByRange("f", "k1").sortWithinPartitions("f", "k1")
+    rows = Staged(ranges.mapInArrow(run, "k1 long, f long, sure boolean, edge boolean"), "repeats-prefixes").read()
+    several = rows.filter("edge").groupBy("f").agg(F.count("*").alias("n")).filter("n > 1").select("f")
+    return rows.filter("sure").select("k1", "f").unionByName(rows.filter("not sure").select("k1", "f").join(several, "f", "left_semi"))
 
 
-def merge_suffixes(prefix: np.ndarray, tails: np.ndarray, before: np.ndarray, least_o: np.ndarray, most_o: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """For each suffix and o: whether the string that starts o bytes before it repeats.
+class Merged:
+    """Suffixes of several shards, merged.
 
-    prefix: number of each suffix's group (same first bytes); tails: the next 127 bytes,
-    padded to 128; before: the bytes before it, the nearest first, padded to 128;
+    prefix: number of each suffix's group (same first bytes); tails: its next bytes, padded with
+    zeros to whole words; before: the bytes before it, the nearest first, padded to 128;
     places: how often the suffix stands in its text with just these bytes around it."""
-    n = len(prefix)
-    order = np.argsort(prefix, kind="stable")
-    words = np.ascontiguousarray(tails).view(">u8").astype(np.uint64)
-    lcp = np.full(n, WINDOW, np.int16)  # with the one before it in the order; -1: another group
-    start = np.concatenate(([True], prefix[order][1:] != prefix[order][:-1]))
-    lcp[start] = -1
-    for k in range(WINDOW // 8):  # refine the interleave by one more word
-        interval = np.cumsum(start) - 1
-        live = np.flatnonzero(np.bincount(interval)[interval] > 1)
-        if not len(live):
-            break
-        word = words[order[live], k]
-        by = np.lexsort((word, interval[live]))
-        order[live] = order[live][by]
-        word, own = word[by], interval[live]
-        differ = np.flatnonzero((own[1:] == own[:-1]) & (word[1:] != word[:-1])) + 1
-        x = word[differ] ^ word[differ - 1]
-        byte = np.zeros(len(x), np.int16)  # equal leading bytes
-        for j in range(7, 0, -1):
-            byte += (x >> np.uint64(8 * (8 - j))) == 0
-        lcp[live[differ]] = 8 * k + byte
-        start[live[differ]] = True
-    out = np.zeros((n, WINDOW), bool)
-    rng = np.random.default_rng(5)
-    z = rng.integers(0, 1 << 63, (WINDOW, 256), np.uint64)
-    left = np.zeros(n, np.uint64)
-    lo, hi, columns, weight = least_o[order], most_o[order], before[order], places[order]
-    for o in range(WINDOW):
-        block = np.cumsum(lcp < WINDOW - 1 - o)
-        live = np.flatnonzero((lo <= o) & (o <= hi))
-        if len(live):
-            key = block[live].astype(np.uint64) * _K[0] + left[live]
-            key ^= key >> np.uint64(32)
-            _, back = np.unique(key * _K[3], return_inverse=True)
-            out[order[live], o] = np.bincount(back, weight[live])[back] > 1
-        left += z[o][columns[:, o]]
-    return out
-
-
-def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, binary, with ``with_text``)."""
-    if length < 2 * WINDOW:
-        raise ValueError(f"length must be {2 * WINDOW} or more")
+
+    def __init__(self, prefix: np.ndarray, tails: np.ndarray, before: np.ndarray, places: np.ndarray):
+        n, width = tails.shape
+        order = np.argsort(prefix, kind="stable")
+        words = np.ascontiguousarray(tails).view(">u8").astype(np.uint64)
+        lcp = np.full(n, width, np.int16)  # with the one before it in the order; -1: another group
+        start = np.concatenate(([True], prefix[order][1:] != prefix[order][:-1]))
+        lcp[start] = -1
+        for k in range(width // 8):  # refine the interleave by one more word
+            interval = np.cumsum(start) - 1
+            live = np.flatnonzero(np.bincount(interval)[interval] > 1)
+            if not len(live):
+                break
+            word = words[order[live], k]
+            by = np.lexsort((word, interval[live]))
+            order[live] = order[live][by]
+            word, own = word[by], interval[live]
+            differ = np.flatnonzero((own[1:] == own[:-1]) & (word[1:] != word[:-1])) + 1
+            x = word[differ] ^ word[differ - 1]
+            byte = np.zeros(len(x), np.int16)  # equal leading bytes
+            for j in range(7, 0, -1):
+                byte += (x >> np.uint64(8 * (8 - j))) == 0
+            lcp[live[differ]] = 8 * k + byte
+            start[live[differ]] = True
+        self.order, self.lcp, self.before, self.weight = order, lcp, before[order], places[order]
+
+    def repeats(self, tail: int, least: np.ndarray, most: np.ndarray, first: bool, last: bool) -> tuple[np.ndarray, np.ndarray]:
+        """For each suffix and o, of the string from o bytes before it to ``tail - o`` bytes behind its prefix:
+        whether it repeats here, and whether its interval is at the edge of the range, if ``first`` or ``last`` in it."""
+        n = len(self.order)
+        out, edge = np.zeros((n, WINDOW), bool), np.zeros((n, WINDOW), bool)
+        z = np.random.default_rng(5).integers(0, 1 << 63, (WINDOW, 256), np.uint64)
+        left = np.zeros(n, np.uint64)
+        lo, hi = least[self.order], most[self.order]
+        for o in range(min(WINDOW, tail + 1)):
+            block = np.cumsum(self.lcp < tail - o)
+            live = np.flatnonzero((lo <= o) & (o <= hi))
+            if len(live):
+                key = block[live].astype(np.uint64) * _K[0] + left[live]
+                key ^= key >> np.uint64(32)
+                _, back = np.unique(key * _K[3], return_inverse=True)
+                out[self.order[live], o] = np.bincount(back, self.weight[live])[back] > 1
+                at = block[live]
+                edge[self.order[live], o] = (first & (at == block[0])) | (last & (at == block[-1]))
+            left += z[o][self.before[:, o]]
+        return out, edge
+
+
+def remove_repeats(df: DataFrame, *, length: int = 400, passage: int = 256, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared (and kept, binary, with ``with_text``).
+
+    n_shared: bytes that strings of ``passage`` bytes cover which start anywhere else too."""
+    if not 2 * WINDOW <= passage <= length:
+        raise ValueError(f"passage must be {2 * WINDOW} or more, length no less")
+    size = passage - (WINDOW - 1)
+    tail_bytes = length - size
     spark = df.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), text.alias("text"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(17), text).alias("k2"))
     base = docs.select("doc_id", "id", "k1", "k2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"), *(["text"] if with_text else []))
     texts = Staged(base.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes")), "repeats-texts").read()
 
-    shared = Staged(_shared(_listed(docs.filter(F.octet_length("text") >= length), length)), "repeats-shared").read()
+    shared = Staged(_shared(Staged(_listed(docs.filter(F.octet_length("text") >= passage), passage), "repeats-listed").read()), "repeats-shared").read()
     per_text = shared.groupBy("k1").agg(F.collect_list("f").alias("fs")).join(texts, "k1").select("k1", "k2", "id", "fs")
     # Most texts share nothing: a filter of fixed size (4 MB) spares their way through the shuffle.
     slots = per_text.select(F.col("k1").bitwiseAND((1 << BLOOM_BITS) - 1).alias("b")).groupBy(F.shiftright("b", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("bits"))
@@ -225,12 +262,11 @@ def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id",
     names = ["f1", "f2", "k1", "k2", "at", "n", "least", "most", "tail", "before"]
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = length - (WINDOW - 1)
         for batch in batches:
             for row in batch.to_pylist():
                 data = pa.decompress(row["packed"], decompressed_size=row["n"], codec="zstd", asbytes=True)
-                at, least, most = anchors(data, length)
-                f = _prefixes(data, at, length)
+                at, least, most = anchors(data, passage)
+                f = _prefixes(data, at, passage)
                 keep = np.isin(f[:, 0], np.array(row["fs"], np.int64))
                 at, least, most, f = at[keep], least[keep], most[keep], f[keep]
                 # Anchors of a text with the same bytes around them are one suffix, at several places.
@@ -245,83 +281,100 @@ def remove_repeats(df: DataFrame, *, length: int = 400, id_col: str = "doc_id",
                 types = [pa.int64()] * 4 + [pa.binary(), pa.int64(), pa.int16(), pa.int16(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    def padded(values: pa.ChunkedArray) -> np.ndarray:
-        out = b"".join(x.ljust(WINDOW, b"\0") for x in values.to_pylist())
-        return np.frombuffer(out, np.uint8).reshape(-1, WINDOW)
+    def padded(values: pa.ChunkedArray, width: int) -> np.ndarray:
+        out = b"".join(x.ljust(width, b"\0") for x in values.to_pylist())
+        return np.frombuffer(out, np.uint8).reshape(-1, width)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _grouped(batches, "f1", 50_000):
+        """Marks (bits for each place of a suffix), and strings at the edges with their hashes."""
+        import xxhash
+
+        for t, first, last in _with_ends(_grouped(batches, "f1", 50_000)):
             f1, f2 = t.column("f1").to_numpy(), t.column("f2").to_numpy()
+            least, most = t.column("least").to_numpy(), t.column("most").to_numpy()
             group = np.cumsum(np.concatenate(([True], (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1]))))
-            mask = merge_suffixes(group, padded(t.column("tail")), padded(t.column("before")), t.column("least").to_numpy(), t.column("most").to_numpy(), t.column("n").to_numpy())
+            merged = Merged(group, padded(t.column("tail"), -(-tail_bytes // 8) * 8), padded(t.column("before"), WINDOW), t.column("n").to_numpy())
+            behind = pc.binary_length(t.column("tail")).to_numpy()
+            masks, edges = [], []
+            for tail in (tail_bytes, WINDOW - 1):  # strings of ``length`` and of ``passage`` bytes
+                out, edge = merged.repeats(tail, np.maximum(least, tail - behind), most, first, last)
+                masks.append(out)
+                edges.append(edge)
+            # What is single here is asked for; what is not is told, once for each suffix.
+            open_ = [[], [], [], [], []]
+            for kind, (out, edge) in enumerate(zip(masks, edges, strict=True)):
+                rows, offsets = np.nonzero(edge)
+                for r, o in zip(rows.tolist(), offsets.tolist(), strict=True):
+                    before, tail = t.column("before")[r].as_py(), t.column("tail")[r].as_py()
+                    head = int(f1[r]).to_bytes(8, "little", signed=True) + int(f2[r]).to_bytes(8, "little", signed=True)
+                    open_[0].append(xxhash.xxh3_128_digest(head + bytes([kind, o]) + before[:o] + tail[: (tail_bytes, WINDOW - 1)[kind] - o]))
+                    open_[1].append(r)
+                    open_[2].append(o + WINDOW * kind)
+                    open_[3].append(not out[r, o])
+            mask = np.concatenate(masks, axis=1)
             hit = np.flatnonzero(mask.any(1))
             if len(hit):
                 own = t.take(pa.array(hit))
                 bits = [x.tobytes() for x in np.packbits(mask[hit], axis=1)]
-                yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("k1", "k2", "at")), pa.array(bits, pa.binary())], names=["k1", "k2", "at", "bits"])
+                none = pa.nulls(len(hit))
+                yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("k1", "k2", "at")), pa.array(bits, pa.binary()), *(none.cast(x) for x in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()))], names=FOUND_NAMES)
+            if open_[0]:
+                own = t.take(pa.array(open_[1]))
+                h = np.frombuffer(b"".join(open_[0]), "<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("k1", "k2", "at")), pa.nulls(len(h), pa.binary()), pa.array(h[:, 0]), pa.array(h[:, 1]), own.column("n").combine_chunks(), pa.array(open_[2], pa.int32()), pa.array(open_[3], pa.bool_())], names=FOUND_NAMES)
 
     schema = "f1 long, f2 long, k1 long, k2 long, at binary, n long, least short, most short, tail binary, before binary"
     rows = Staged(live.mapInArrow(suffixes, schema), "repeats-suffixes").read()
-    large = rows.groupBy("f1").agg(F.count("*").alias("rows")).filter(F.col("rows") > group_rows).select("f1")
-    found = "k1 long, k2 long, at binary, bits binary"
-    marks = rows.join(large, "f1", "left_anti").repartition("f1").sortWithinPartitions("f1", "f2").mapInArrow(merge, found)
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A 128-bit hash of each string of ``length`` bytes, for suffixes of large groups."""
-        import xxhash
+    ranges = rows.repartitionByRange("f1", "f2", "tail", "before", "k1").sortWithinPartitions("f1", "f2")
+    found = Staged(ranges.mapInArrow(merge, FOUND), "repeats-marks").read()
 
+    def bits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                each = range(r["least"], r["most"] + 1)
-                head = r["f1"].to_bytes(8, "little", signed=True) + r["f2"].to_bytes(8, "little", signed=True)
-                keys = b"".join(xxhash.xxh3_128_digest(head + bytes([o]) + r["before"][:o] + r["tail"][: WINDOW - 1 - o]) for o in each)
-                h = np.frombuffer(keys, "<i8").reshape(-1, 2)
-                n = len(h)
-                yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), *(pa.array([r[c]] * n, t) for c, t in (("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.binary()), ("n", pa.int64()))), pa.array(np.array(each, np.int32))], names=["h1", "h2", "k1", "k2", "at", "n", "o"])
-
-    def masks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            mask = np.zeros((batch.num_rows, WINDOW), bool)
+            mask = np.zeros((batch.num_rows, 2 * WINDOW), bool)
             for k, o in enumerate(batch.column(3).to_pylist()):
                 mask[k, o] = True
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x.tobytes() for x in np.packbits(mask, axis=1)], pa.binary())], names=["k1", "k2", "at", "bits"])
 
-    cols = rows.join(large, "f1", "left_semi").select("f1", "f2", "k1", "k2", "at", "n", "least", "most", "tail", "before")
-    wins = cols.mapInArrow(windows, "h1 long, h2 long, k1 long, k2 long, at binary, n long, o int")
-    twice = wins.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter("n > 1").select("h1", "h2")
-    hits = wins.join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2", "at").agg(F.collect_set("o").alias("os"))
-    marks = marks.unionByName(hits.mapInArrow(masks, found))
+    edges = found.filter("h1 is not null")
+    twice = edges.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter("n > 1").select("h1", "h2")
+    hits = edges.filter("single").join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2", "at").agg(F.collect_set("o").alias("os"))  # 256 at most
+    marks = found.filter("bits is not null").select("k1", "k2", "at", "bits").unionByName(hits.mapInArrow(bits_of, "k1 long, k2 long, at binary, bits binary"))
 
     def cut(key: tuple, text: pa.Table, own: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if text.num_rows and own.num_rows:
             row = text.slice(0, 1).to_pylist()[0]
             data = pa.decompress(row["packed"], decompressed_size=row["n"], codec="zstd", asbytes=True)
-            bits = np.unpackbits(np.frombuffer(b"".join(own.column("bits").to_pylist()), np.uint8).reshape(-1, WINDOW // 8), axis=1)
+            bits = np.unpackbits(np.frombuffer(b"".join(own.column("bits").to_pylist()), np.uint8).reshape(-1, 2 * WINDOW // 8), axis=1)
             places = own.column("at").to_pylist()
             bits = np.repeat(bits, [len(x) // 8 for x in places], axis=0)
-            k, o = np.nonzero(bits)
-            p = np.frombuffer(b"".join(places), "<i8")[k] - o
-            step = np.bincount(p, minlength=row["n"] + 1) - np.bincount(p + length, minlength=row["n"] + 1)
-            gone = np.cumsum(step)[:-1] > 0
+            place, covered = np.frombuffer(b"".join(places), "<i8"), []
+            for kind, reach in enumerate((length, passage)):
+                k, o = np.nonzero(bits[:, kind * WINDOW : (kind + 1) * WINDOW])
+                p = place[k] - o
+                step = np.bincount(p, minlength=row["n"] + 1) - np.bincount(p + reach, minlength=row["n"] + 1)
+                covered.append(np.cumsum(step)[:-1] > 0)
+            gone, shared_ = covered
             kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
             spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
-            out.append((row["k1"], row["k2"], int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
-        cols = list(zip(*out, strict=True)) if out else [[]] * 6
-        types = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-        return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["k1", "k2", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-    done = live.select("k1", "k2", "packed", "n").groupBy("k1", "k2").cogroup(marks.groupBy("k1", "k2")).applyInArrow(cut, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    whole = (F.col("copies") > 1) & (F.col("n_bytes") >= length)
+            out.append((row["k1"], row["k2"], int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), int(shared_.sum()), kept if with_text else None))
+        cols = list(zip(*out, strict=True)) if out else [[]] * 7
+        types = [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.binary()]
+        return pa.table([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["k1", "k2", "n_removed", "n_spans", "kept_sha256", "n_shared", "kept"])
+
+    done = live.select("k1", "k2", "packed", "n").groupBy("k1", "k2").cogroup(marks.groupBy("k1", "k2")).applyInArrow(cut, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, n_shared long, kept binary")
+    copied = F.col("copies") > 1
+    whole = copied & (F.col("n_bytes") >= length)
     nothing = hashlib.sha256(b"").hexdigest()
-    facts = texts.join(done, ["k1", "k2"], "left").filter(whole | F.col("n_removed").isNotNull()).select(
+    facts = texts.join(done, ["k1", "k2"], "left").filter((copied & (F.col("n_bytes") >= passage)) | F.col("n_removed").isNotNull()).select(
         "k1", "k2",
         F.when(whole, F.col("n_bytes")).otherwise(F.col("n_removed")).alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.col("n_spans")).alias("n_spans"),
         F.when(whole, F.lit(nothing)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
+        F.when(copied & (F.col("n_bytes") >= passage), F.col("n_bytes")).otherwise(F.col("n_shared")).alias("n_shared"),
         F.when(whole, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
     )
     zero = F.lit(0).cast("long")
     out = base.join(facts, ["k1", "k2"], "left")
-    cols = ["doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256")]
+    cols = ["doc_id", "n_bytes", *[F.coalesce(c, zero).alias(c) for c in ("n_removed", "n_spans")], F.coalesce("kept_sha256", "sha").alias("kept_sha256"), F.coalesce("n_shared", zero).alias("n_shared")]
     return out.select(*cols, *([F.coalesce("kept", F.col("text").cast("binary")).alias("kept")] if with_text else []))
