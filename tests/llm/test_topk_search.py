@@ -20,6 +20,21 @@ def test_matches_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_several_groups_and_chunks(spark):
+    """Blocks of clusters, so that bounds rule some out, in many groups; the same results."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(30, 6)) * 20
+    v = (centres[np.repeat(np.arange(30), 40)] + rng.normal(size=(1200, 6))).astype(np.float32)
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<float>").repartitionByRange(6, "vec_id")
+    got = sorted(map(tuple, topk_search(df, F.col("vec_id") % 4 == 0, k=7, first=1, group_blocks=2, block_rows=20).collect()))
+    e = np.floor(v.astype(float) * 1024).astype(np.int64)
+    want = []
+    for q in range(0, 1200, 4):
+        s = e @ e[q]
+        want += [(q, k + 1, int(j), int(s[j])) for k, j in enumerate([j for j in np.lexsort((np.arange(1200), -s)) if j != q][:7])]
+    assert got == sorted(want)
+
+
 def test_odd_vectors(spark):
     rows = [(0, [1e30, 2.0]), (100, [1e30, -3.0]), (3, None), (4, [float("nan"), 1.0]), (5, [1.0, None]), (6, []), (7, [5.0]), (200, []), (None, [1.0, 1.0]), (8, [float("inf"), 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
