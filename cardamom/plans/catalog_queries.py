@@ -14,7 +14,9 @@ from cardamom.functions import identity as I
 from cardamom.functions import price as P
 from cardamom.functions import text as T
 from cardamom.operators import dedupe, drift, health, overlap, quality, sets
+from cardamom.plans import pipeline
 
+_NOW = "2024-01-20 00:00:00"
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -65,11 +67,11 @@ def raw_text_first_seen(spark, sf_dir):
 
 def _two_catalogs(spark, sf_dir):
     part = _table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("|", "p_name", "p_type").alias("ik"), F.when(F.col("p_partkey") % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("b"), F.col("p_partkey") % 301)).alias("b"), F.concat_ws("|", "p_brand", F.col("p_size").cast("string")).alias("cn"))
-    return part.filter(F.col("p_partkey") % 2 == 0), part.filter((F.col("p_partkey") % 2 == 1) & (F.col("p_partkey") % 7 == 0))
+    return part.filter(F.col("p_partkey") % 2 == 0), part.filter(F.col("p_partkey") % 2 == 1)
 
 
 _CATALOGS = """WITH p AS (SELECT p_partkey, p_name || '|' || p_type AS ik, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE 'b' || (p_partkey % 301) END AS b, p_brand || '|' || p_size AS cn FROM part),
-l AS (SELECT * FROM p WHERE p_partkey % 2 = 0), r AS (SELECT * FROM p WHERE p_partkey % 2 = 1 AND p_partkey % 7 = 0)
+l AS (SELECT * FROM p WHERE p_partkey % 2 = 0), r AS (SELECT * FROM p WHERE p_partkey % 2 = 1)
 SELECT * FROM l WHERE {0} EXISTS (SELECT 1 FROM r WHERE r.ik = l.ik OR r.cn = l.cn OR (r.b = l.b AND l.b <> ''))"""
 
 
@@ -116,11 +118,15 @@ def barcode_checksum(spark, sf_dir):
     return _table(spark, sf_dir, "part").select("p_partkey", B.normalize_barcode(digits).alias("barcode"))
 
 
-@query("SELECT l_partkey % 10 AS store, count(*) FILTER (n > 3) AS conflicts, sum(rows) AS rows FROM (SELECT l_partkey, count(DISTINCT l_suppkey) AS n, CAST(count(*) AS BIGINT) AS rows FROM lineitem GROUP BY 1) GROUP BY 1".replace("sum(rows)", "CAST(sum(rows) AS BIGINT)"))
+@query("SELECT 's' || (l_partkey % 10) AS store, count(*) FILTER (n > 1) AS conflicts, CAST(sum(rows) AS BIGINT) AS product_count, CAST(sum(rows) - count(*) AS BIGINT) AS duplicate_barcodes FROM (SELECT l_partkey, count(DISTINCT l_suppkey) AS n, count(*) AS rows FROM lineitem GROUP BY 1) GROUP BY 1")
 def barcode_conflicts(spark, sf_dir):
-    pairs = _table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("rows"))
-    codes = pairs.groupBy("l_partkey").agg(F.count("*").alias("n"), F.sum("rows").alias("rows"))
-    return codes.groupBy((F.col("l_partkey") % 10).alias("store")).agg(F.count_if(F.col("n") > 3).alias("conflicts"), F.sum("rows").alias("rows"))
+    """Parts as barcodes, suppliers as identities: barcodes with more than one identity."""
+    part = F.col("l_partkey")
+    twelve = F.concat(F.lit("8"), F.lpad(part.cast("string"), 11, "0"))
+    total = sum((F.substring(twelve, k + 1, 1).cast("int") * (3 if k % 2 else 1) for k in range(12)), F.lit(0))
+    code = F.concat(twelve, F.pmod(10 - total % 10, F.lit(10)).cast("string"))
+    rows = _table(spark, sf_dir, "lineitem").select(F.lit("nl").alias("country"), F.concat(F.lit("s"), (part % 10).cast("string")).alias("store"), code.alias("b"), F.col("l_suppkey").cast("string").alias("ik"), F.lit("1.00").alias("p"), F.lit("Kaas").alias("n"), F.lit(None).cast("timestamp").alias("scraped"))
+    return health.metrics(rows, F.lit(_NOW).cast("timestamp")).select("store", "conflicts", "product_count", "duplicate_barcodes")
 
 
 def _rules_sql(text: str) -> str:
@@ -231,9 +237,6 @@ def whole_prices(spark, sf_dir):
     return _table(spark, sf_dir, "part").select("p_partkey", P.whole_to_cents(F.col("p_size").cast("string")).alias("price"))
 
 
-_NOW = "2024-01-20 00:00:00"
-
-
 def _event_catalog(spark, sf_dir):
     ev = _table(spark, sf_dir, "events")
     twelve = F.col("user_id") * 70 + 870_000_000_000
@@ -301,10 +304,11 @@ def drift_alerts(spark, sf_dir):
     return out.select("store", F.size("alerts").alias("n_alerts"), F.get("alerts", F.lit(0)).alias("first_alert"))
 
 
-@query("SELECT event_type, count(*) FILTER (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(ts) > 172800000000) AS stale, max(ts) AS newest FROM events GROUP BY 1")
+@query("SELECT event_type AS store, count(*) FILTER (epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(ts) > 172800000000) AS stale_rows, CAST(0 AS BIGINT) AS missing_timestamps, epoch_us(max(ts)) AS newest FROM events GROUP BY 1")
 def freshness(spark, sf_dir):
-    age = F.unix_micros(F.lit("2024-02-01 00:00:00").cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))
-    return _table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_if(age > 48 * 3600 * 1_000_000).alias("stale"), F.max("ts").alias("newest"))
+    rows = _table(spark, sf_dir, "events").select(F.lit("nl").alias("country"), F.col("event_type").alias("store"), F.lit("").alias("b"), F.col("user_id").cast("string").alias("ik"), F.lit("1.00").alias("p"), F.lit("Kaas").alias("n"), F.col("ts").cast("timestamp").alias("scraped"))
+    m = health.metrics(rows, F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    return m.select("store", "stale_rows", "missing_timestamps", F.unix_micros("newest_at").alias("newest"))
 
 
 @query("SELECT count(*) AS total, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'error') / count(*) AS ratio, count(*) FILTER (event_type = 'error') / count(*) <= 0.05 AS passed FROM events")
@@ -324,11 +328,6 @@ def nested_export(spark, sf_dir):
     return out.select("region", F.array_join(F.transform("d", lambda x: x["n_name"]), ",").alias("names"), F.size("d").cast("long").alias("n"))
 
 
-@query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, CAST(len(regexp_extract_all(html, '<p[ >]')) AS INT) AS n_paragraphs FROM pages")
-def html_cards(spark, sf_dir):
-    return _table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_count("html", F.lit("<p[ >]")).alias("n_paragraphs"))
-
-
 @query("""SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', ''), '([^/]*)$', 1) AS slug FROM pages""")
 def url_slug(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", T.url_path(F.col("url")).alias("path"), T.last_segment(F.col("url")).alias("slug"))
@@ -352,9 +351,10 @@ def redirect_cache(spark, sf_dir):
     return sets.expand_cache(urls, cached).select(F.col("source_url").alias("c_custkey"), "o_orderkey", "category")
 
 
-@query("SELECT p_type, p_brand, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS size FROM part GROUP BY ROLLUP (p_type, p_brand)")
+@query("SELECT p_type AS country, p_brand AS store, count(*) AS input, count(*) FILTER (p_size > 20) AS kept FROM part GROUP BY ROLLUP (p_type, p_brand)")
 def grand_totals(spark, sf_dir):
-    return _table(spark, sf_dir, "part").rollup("p_type", "p_brand").agg(F.count("*").alias("n"), F.sum("p_size").alias("size"))
+    rows = _table(spark, sf_dir, "part").select(F.col("p_type").alias("country"), F.col("p_brand").alias("store"), "p_size")
+    return pipeline.totals(rows, rows.filter("p_size > 20"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE starts_with(o_orderpriority, substr(o_orderstatus, 2) || CAST(o_orderkey % 5 + 1 AS VARCHAR))")

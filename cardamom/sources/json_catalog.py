@@ -11,13 +11,18 @@ RAW_CARD = {"raw_text": "string", "image": "string", "category": "string", "barc
 
 
 def scan_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """One row for each file: path, changed_at (epoch seconds), doc (VARIANT; null if it is no JSON), kind.
+    """One row for each file, as ``shaped`` gives it."""
+    return shaped(spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.unix_seconds("_metadata.file_modification_time").alias("changed_at"), "value"))
+
+
+def shaped(files: DataFrame) -> DataFrame:
+    """Texts of files (path, changed_at in epoch seconds, value) with doc (VARIANT; null if it is no JSON) and kind.
 
     kind is array, object, other or unreadable."""
-    files = spark.read.option("wholetext", True).text(list(paths)).select(F.col("_metadata.file_path").alias("path"), F.unix_seconds("_metadata.file_modification_time").alias("changed_at"), F.try_parse_json("value").alias("doc"))
+    parsed = files.select("path", "changed_at", F.try_parse_json("value").alias("doc"))
     shape = F.schema_of_variant("doc")
     kind = F.when(F.col("doc").isNull(), "unreadable").when(F.startswith(shape, F.lit("ARRAY")), "array").when(F.startswith(shape, F.lit("OBJECT")), "object").otherwise("other")
-    return files.withColumn("kind", kind)
+    return parsed.withColumn("kind", kind)
 
 
 def elements(files: DataFrame, *, objects: bool = False) -> DataFrame:
@@ -44,18 +49,27 @@ def read_catalog(spark: SparkSession, *paths: str) -> DataFrame:
 def read_cards(spark: SparkSession, *paths: str) -> DataFrame:
     """Raw cards of fragment files: arrays extend, objects append, unreadable files are skipped.
 
-    ``_file_ord`` is the place of the file among the sorted paths."""
-    files = scan_files(spark, *paths)
-    cards = typed(elements(files, objects=True).filter("_is_object"), RAW_CARD)
-    return cards.withColumn("_order", F.struct("path", "_ord"))
+    ``_order`` sorts by file, then by the place in it."""
+    return cards(scan_files(spark, *paths))
+
+
+def cards(files: DataFrame) -> DataFrame:
+    """The raw cards of scanned fragment files."""
+    found = typed(elements(files, objects=True).filter("_is_object"), RAW_CARD)
+    return found.withColumn("_order", F.struct("path", "_ord"))
+
+
+def fragment_counts(files: DataFrame) -> DataFrame:
+    """One row: fragment files, and those of them that can be read."""
+    return files.agg(F.count("*").alias("files"), F.count_if(F.col("kind").isin("array", "object")).alias("readable"))
 
 
 def require_fragments(files: DataFrame, least: int) -> None:
     """Raise if fewer files than ``least`` are there, or none has an element."""
-    row = files.agg(F.count("*").alias("n"), F.count_if(F.col("kind").isin("array", "object")).alias("good")).first()
-    if row["n"] < least:
-        raise ValueError(f"{row['n']} fragments; {least} are needed")
-    if not row["good"]:
+    row = fragment_counts(files).first()
+    if row["files"] < least:
+        raise ValueError(f"{row['files']} fragments; {least} are needed")
+    if not row["readable"]:
         raise ValueError("no fragment could be read")
 
 
@@ -70,6 +84,11 @@ def read_baseline(spark: SparkSession, path: str | None, default_country: str =
     """The last quality report (country, store, total); no path gives an empty one."""
     if path is None:
         return spark.createDataFrame([], "country string, store string, total long")
-    rows = typed(elements(scan_files(spark, path)), {"country": "string", "store": "string", "total": "long"})
+    return baseline(scan_files(spark, path), default_country)
+
+
+def baseline(files: DataFrame, default_country: str = "nl") -> DataFrame:
+    """The reports of scanned files; those without a store are left out."""
+    rows = typed(elements(files), {"country": "string", "store": "string", "total": "long"})
     named = rows.filter(F.coalesce("store", F.lit("")) != "")
     return named.select(F.coalesce(F.nullif("country", F.lit("")), F.lit(default_country)).alias("country"), "store", F.coalesce("total", F.lit(0)).alias("total"))

@@ -13,6 +13,16 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _replace(spark: SparkSession, new, target) -> None:
+    """Put a file in the place of another in one step, so that one of the two stands there at any time."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(new, context.makeQualified(target), how)
+
+
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Write to a neighbour and swap, so that ``df`` may read ``path`` itself."""
     spark = df.sparkSession
@@ -48,8 +58,7 @@ def json_array(df: DataFrame, path: str, ord_col: str | None = None) -> None:
     whole.select(F.concat(F.lit("[\n"), "v", F.lit("\n]")).alias("value")).coalesce(1).write.text(staging)
     fs, folder = _fs(spark, staging)
     part = next(s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-"))
-    fs.delete(_fs(spark, path)[1], True)
-    fs.rename(part, _fs(spark, path)[1])
+    _replace(spark, part, _fs(spark, path)[1])
     fs.delete(folder, True)
 
 

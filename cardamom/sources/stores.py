@@ -11,7 +11,12 @@ CONFIG = f"struct<default_country:string,countries:map<string,{_COUNTRY}>>"
 
 
 def read_stores(spark: SparkSession, path: str) -> DataFrame:
-    doc = spark.read.option("wholetext", True).text(path).select(F.from_json("value", CONFIG).alias("c"))
+    return store_rows(spark.read.text(path, wholetext=True))
+
+
+def store_rows(texts: DataFrame) -> DataFrame:
+    """The stores of configurations as JSON texts (value)."""
+    doc = texts.select(F.from_json("value", CONFIG).alias("c"))
     countries = doc.select("c.default_country", F.explode("c.countries").alias("country", "v"))
     stores = countries.select("default_country", "country", "v.label", "v.locale", "v.currency", F.posexplode(F.map_entries("v.stores")).alias("_store_ord", "e"))
     out = stores.select("country", "label", "locale", "currency", F.col("e.key").alias("store"), "e.value.*", "_store_ord", (F.col("country") == F.col("default_country")).alias("is_default"))
