@@ -26,6 +26,24 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACES))
 
 
+def free(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def join_spread(left: DataFrame, right: DataFrame, on: list[str], sizes: DataFrame, by: str, most: int = 2_000) -> DataFrame:
+    """``left.join(right, on, "left")``, the rows of ``left`` with a key of over ``most`` rows dealt out by the column ``by``.
+
+    sizes: the keys and ``n``, how many rows of ``left`` each has; ``right`` has few rows for a key."""
+    hubs = sizes.filter(F.col("n") > most).select(*on, F.ceil(F.col("n") / most).cast("int").alias("_parts"))
+    salted = left.join(hubs, on, "left").withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")), F.lit(0)).cast("int")).drop("_parts")
+    each = right.join(hubs, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return salted.join(each, [*on, "_salt"], "left").drop("_salt")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: spark.checkpoint.dir.
 

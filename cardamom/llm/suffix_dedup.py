@@ -16,8 +16,10 @@ all strings that start at p are found at the anchor of p.
    give the common prefixes of neighbours.
 4. Going backwards through the columns, an interval of suffixes that agree in
    length - o bytes is refined by the o bytes before; what holds two or more is a repeat.
-5. An interval at the edge of a range may go on in the next one: its strings that are single in
-   their range are settled by joining the 128-bit hashes of the edges' strings.
+5. An interval at the edge of a range may go on in the next one. The suffixes of such intervals are
+   sorted once more, by their columns: a string that starts o bytes before a suffix repeats only if
+   a neighbour there has the same o bytes before it. What is left of the edges' strings, each
+   once for a range, is settled by counting their 128-bit hashes.
 
 Texts are UTF-8 bytes; null is empty. Repeated rows are copies, so they go if they are
 long enough. An empty table gives an empty result. Columns besides id and text do
@@ -34,13 +36,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import Staged
+from cardamom.llm._common import Staged, join_spread
 from cardamom.llm.packing import chunks
 
 WINDOW, GRAM = 128, 32
 BLOOM_BITS = 25
-FOUND = "k1 long, k2 long, at binary, bits binary, h1 long, h2 long, n long, o int, single boolean"
-FOUND_NAMES = [x.split()[0] for x in FOUND.split(", ")]
+FOUND = "k1 long, k2 long, at binary, f1 long, f2 long, tail binary, before binary, mark binary, tell binary"
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -204,25 +205,80 @@ class Merged:
         self.order, self.lcp, self.before, self.weight = order, lcp, before[order], places[order]
 
     def repeats(self, tail: int, least: np.ndarray, most: np.ndarray, first: bool, last: bool) -> tuple[np.ndarray, np.ndarray]:
-        """For each suffix and o, of the string from o bytes before it to ``tail - o`` bytes behind its prefix:
-        whether it repeats here, and whether its interval is at the edge of the range, if ``first`` or ``last`` in it."""
+        """For each suffix and o, of the string from o bytes before it to ``tail - o`` bytes behind its prefix: whether it
+        repeats here, and whether other ranges must hear of it: its interval is at the edge of the range, if ``first``
+        or ``last`` in it, and the suffix is the first one that has the string."""
         n = len(self.order)
-        out, edge = np.zeros((n, WINDOW), bool), np.zeros((n, WINDOW), bool)
+        out, tell = np.zeros((n, WINDOW), bool), np.zeros((n, WINDOW), bool)
         z = np.random.default_rng(5).integers(0, 1 << 63, (WINDOW, 256), np.uint64)
         left = np.zeros(n, np.uint64)
-        lo, hi = least[self.order], most[self.order]
+        lo, hi, many = least[self.order], most[self.order], self.weight > 1
         for o in range(min(WINDOW, tail + 1)):
-            block = np.cumsum(self.lcp < tail - o)
-            live = np.flatnonzero((lo <= o) & (o <= hi))
+            new = self.lcp < tail - o
+            fits = (lo <= o) & (o <= hi)
+            # Suffixes alone in their interval are done.
+            live = np.flatnonzero(fits & ~(new & np.append(new[1:], True)))
+            twice, again = fits & many, np.zeros(n, bool)
             if len(live):
+                block = np.cumsum(new)
                 key = block[live].astype(np.uint64) * _K[0] + left[live]
                 key ^= key >> np.uint64(32)
-                _, back = np.unique(key * _K[3], return_inverse=True)
-                out[self.order[live], o] = np.bincount(back, self.weight[live])[back] > 1
-                at = block[live]
-                edge[self.order[live], o] = (first & (at == block[0])) | (last & (at == block[-1]))
+                key *= _K[3]
+                by = np.argsort(key)
+                same = key[by][1:] == key[by][:-1]
+                again[live[by[1:]]] = same
+                twice[live[by[1:]]] |= same
+                twice[live[by[:-1]]] |= same
+            out[self.order, o] = twice
+            edge = np.zeros(n, bool)
+            if first:
+                edge[: int(np.argmax(new[1:])) + 1 if new[1:].any() else n] = True
+            if last:
+                edge[n - 1 - int(np.argmax(new[::-1])) :] = True
+            tell[self.order, o] = edge & fits & ~again
             left += z[o][self.before[:, o]]
-        return out, edge
+        return out, tell
+
+
+def _strings(edges: DataFrame, tail_bytes: int) -> DataFrame:
+    """(h1, h2, k1, k2, at, o, single): hashes of the strings at edges that may repeat."""
+
+    def shared(t: pa.Table) -> np.ndarray:
+        """How many of the bytes before each suffix the next one of the same prefix has too; -1: of another prefix."""
+        before = np.frombuffer(b"".join(x.ljust(WINDOW, b"\0") for x in t.column("before").to_pylist()), np.uint8).reshape(-1, WINDOW)
+        differ = before[1:] != before[:-1]
+        n = np.where(differ.any(1), differ.argmax(1), WINDOW)
+        f1, f2 = t.column("f1").to_numpy(), t.column("f2").to_numpy()
+        return np.where((f1[1:] == f1[:-1]) & (f2[1:] == f2[:-1]), n, -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        def give(t: pa.Table, upto: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for r, most in zip(t.to_pylist(), upto.tolist(), strict=True):
+                tell, mark = (np.unpackbits(np.frombuffer(r[c], np.uint8)).reshape(2, WINDOW) for c in ("tell", "mark"))
+                kinds, offsets = np.nonzero(tell[:, : most + 1])
+                if not len(kinds):
+                    continue
+                head = r["f1"].to_bytes(8, "little", signed=True) + r["f2"].to_bytes(8, "little", signed=True)
+                keys = b"".join(xxhash.xxh3_128_digest(head + bytes([k, o]) + r["before"][:o] + r["tail"][: (tail_bytes, WINDOW - 1)[k] - o]) for k, o in zip(kinds.tolist(), offsets.tolist(), strict=True))
+                h, n = np.frombuffer(keys, "<i8").reshape(-1, 2), len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array([r["k1"]] * n, pa.int64()), pa.array([r["k2"]] * n, pa.int64()), pa.array([r["at"]] * n, pa.binary()), pa.array((offsets + WINDOW * kinds).astype(np.int32)), pa.array(mark[kinds, offsets] == 0)], names=["h1", "h2", "k1", "k2", "at", "o", "single"])
+
+        held, before = None, WINDOW  # the first and last suffix of a range may have neighbours elsewhere
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            n = shared(t)
+            yield from give(t.slice(0, len(n)), np.maximum(np.concatenate(([before], n))[:-1], n) if len(n) else n)
+            held, before = t.slice(len(n)).combine_chunks(), int(n[-1]) if len(n) else before
+        if held is not None:
+            yield from give(held, np.array([WINDOW]))
+
+    ranges = edges.repartitionByRange("f1", "f2", "before", "k1").sortWithinPartitions("f1", "f2", "before")
+    return ranges.mapInArrow(run, "h1 long, h2 long, k1 long, k2 long, at binary, o int, single boolean")
 
 
 def remove_repeats(df: DataFrame, *, length: int = 400, passage: int = 256, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -286,42 +342,24 @@ def remove_repeats(df: DataFrame, *, length: int = 400, passage: int = 256, id_c
         return np.frombuffer(out, np.uint8).reshape(-1, width)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Marks (bits for each place of a suffix), and strings at the edges with their hashes."""
-        import xxhash
-
+        """Suffixes with what repeats here (a bit for each kind of string and o) and what other ranges must hear of."""
         for t, first, last in _with_ends(_grouped(batches, "f1", 50_000)):
             f1, f2 = t.column("f1").to_numpy(), t.column("f2").to_numpy()
             least, most = t.column("least").to_numpy(), t.column("most").to_numpy()
             group = np.cumsum(np.concatenate(([True], (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1]))))
             merged = Merged(group, padded(t.column("tail"), -(-tail_bytes // 8) * 8), padded(t.column("before"), WINDOW), t.column("n").to_numpy())
             behind = pc.binary_length(t.column("tail")).to_numpy()
-            masks, edges = [], []
-            for tail in (tail_bytes, WINDOW - 1):  # strings of ``length`` and of ``passage`` bytes
-                out, edge = merged.repeats(tail, np.maximum(least, tail - behind), most, first, last)
-                masks.append(out)
-                edges.append(edge)
-            # What is single here is asked for; what is not is told, once for each suffix.
-            open_ = [[], [], [], [], []]
-            for kind, (out, edge) in enumerate(zip(masks, edges, strict=True)):
-                rows, offsets = np.nonzero(edge)
-                for r, o in zip(rows.tolist(), offsets.tolist(), strict=True):
-                    before, tail = t.column("before")[r].as_py(), t.column("tail")[r].as_py()
-                    head = int(f1[r]).to_bytes(8, "little", signed=True) + int(f2[r]).to_bytes(8, "little", signed=True)
-                    open_[0].append(xxhash.xxh3_128_digest(head + bytes([kind, o]) + before[:o] + tail[: (tail_bytes, WINDOW - 1)[kind] - o]))
-                    open_[1].append(r)
-                    open_[2].append(o + WINDOW * kind)
-                    open_[3].append(not out[r, o])
-            mask = np.concatenate(masks, axis=1)
-            hit = np.flatnonzero(mask.any(1))
+            # strings of ``length`` and of ``passage`` bytes
+            both = [merged.repeats(tail, np.maximum(least, tail - behind), most, first, last) for tail in (tail_bytes, WINDOW - 1)]
+            mark, tell = (np.concatenate(x, axis=1) for x in zip(*both, strict=True))
+            told = tell.any(1)
+            hit = np.flatnonzero(mark.any(1) | told)
             if len(hit):
-                own = t.take(pa.array(hit))
-                bits = [x.tobytes() for x in np.packbits(mask[hit], axis=1)]
-                none = pa.nulls(len(hit))
-                yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("k1", "k2", "at")), pa.array(bits, pa.binary()), *(none.cast(x) for x in (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()))], names=FOUND_NAMES)
-            if open_[0]:
-                own = t.take(pa.array(open_[1]))
-                h = np.frombuffer(b"".join(open_[0]), "<i8").reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in ("k1", "k2", "at")), pa.nulls(len(h), pa.binary()), pa.array(h[:, 0]), pa.array(h[:, 1]), own.column("n").combine_chunks(), pa.array(open_[2], pa.int32()), pa.array(open_[3], pa.bool_())], names=FOUND_NAMES)
+                own, none = t.take(pa.array(hit)), ~told[hit]
+                bits = lambda x: pa.array([y.tobytes() for y in np.packbits(x[hit], axis=1)], pa.binary())
+                away = lambda c: pc.if_else(pa.array(none), None, c)
+                cols = [own.column(c).combine_chunks() for c in ("k1", "k2", "at", "f1", "f2", "tail", "before")]
+                yield pa.RecordBatch.from_arrays([*cols[:5], *(away(c) for c in cols[5:]), bits(mark), away(bits(tell))], names=[x.split()[0] for x in FOUND.split(", ")])
 
     schema = "f1 long, f2 long, k1 long, k2 long, at binary, n long, least short, most short, tail binary, before binary"
     rows = Staged(live.mapInArrow(suffixes, schema), "repeats-suffixes").read()
@@ -335,10 +373,10 @@ def remove_repeats(df: DataFrame, *, length: int = 400, passage: int = 256, id_c
                 mask[k, o] = True
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([x.tobytes() for x in np.packbits(mask, axis=1)], pa.binary())], names=["k1", "k2", "at", "bits"])
 
-    edges = found.filter("h1 is not null")
-    twice = edges.groupBy("h1", "h2").agg(F.sum("n").alias("n")).filter("n > 1").select("h1", "h2")
+    edges = Staged(_strings(found.filter("tell is not null"), tail_bytes), "repeats-edges").read()
+    twice = edges.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").select("h1", "h2")
     hits = edges.filter("single").join(twice, ["h1", "h2"], "left_semi").groupBy("k1", "k2", "at").agg(F.collect_set("o").alias("os"))  # 256 at most
-    marks = found.filter("bits is not null").select("k1", "k2", "at", "bits").unionByName(hits.mapInArrow(bits_of, "k1 long, k2 long, at binary, bits binary"))
+    marks = found.select("k1", "k2", "at", F.col("mark").alias("bits")).unionByName(hits.mapInArrow(bits_of, "k1 long, k2 long, at binary, bits binary"))
 
     def cut(key: tuple, text: pa.Table, own: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -375,6 +413,6 @@ def remove_repeats(df: DataFrame, *, length: int = 400, passage: int = 256, id_c
         F.when(whole, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
     )
     zero = F.lit(0).cast("long")
-    out = base.join(facts, ["k1", "k2"], "left")
+    out = join_spread(base, facts, ["k1", "k2"], texts.select("k1", "k2", F.col("copies").alias("n")), "id")
     cols = ["doc_id", "n_bytes", *[F.coalesce(c, zero).alias(c) for c in ("n_removed", "n_spans")], F.coalesce("kept_sha256", "sha").alias("kept_sha256"), F.coalesce("n_shared", zero).alias("n_shared")]
     return out.select(*cols, *([F.coalesce("kept", F.col("text").cast("binary")).alias("kept")] if with_text else []))
