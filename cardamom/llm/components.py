@@ -12,13 +12,20 @@ from pyspark.sql import functions as F
 from cardamom.llm._common import Staged
 
 
+#: Neighbours of a node that meet its least one in one task; those of a hub are spread over several.
+HUB = 2_000
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One step: each node's neighbours (its larger ones, if ``large``) are linked to its least one."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if not large:
         both = both.filter("b < a")
-    least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    out = both.join(least, "a")
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("a", "m"))
+    parts = F.ceil(F.col("n") / HUB).cast("int")
+    hubs = least.filter(F.col("n") > HUB).select("a", parts.alias("parts"))
+    both = both.join(hubs, "a", "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64("b"), F.col("parts")), F.lit(0)).cast("int")).drop("parts")
+    out = both.join(least.select("a", "m", F.explode(F.sequence(F.lit(0), parts - 1)).alias("salt")), ["a", "salt"])
     if large:
         out = out.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

@@ -3,8 +3,9 @@
 Canonical form: lower case; lines that state a copyright are dropped; equivalent
 spellings become one; what is neither letter nor digit separates words. Null and
 empty texts have the digest of the empty text and match nothing. Repeated rows
-each get a row. Besides, each line that speaks of a licence is digested alike and
-looked up among known notices."""
+each get a row, very long texts are digested whole, and an empty table gives an empty result. Besides,
+each line that speaks of a licence is digested alike and looked up among known notices. Columns besides
+id and text do not matter, whatever their names."""
 
 from __future__ import annotations
 
@@ -125,7 +126,8 @@ def canonical(text: Column) -> Column:
     out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
     padded = F.concat(F.lit(" "), out, F.lit(" "))
     for a, b in SPELLINGS:
-        padded = F.replace(padded, F.lit(f" {a} "), F.lit(f" {b} "))
+        for _ in range(2):  # of two next to each other, which share a space, the second time takes the other
+            padded = F.replace(padded, F.lit(f" {a} "), F.lit(f" {b} "))
     return F.trim(padded)
 
 

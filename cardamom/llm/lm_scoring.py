@@ -38,11 +38,13 @@ from pyspark.sql import functions as F
 from cardamom.llm._common import Staged
 from cardamom.llm.packing import chunks
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 18 << 20
 BLOCK = "block long, ids binary, held binary, ends binary, words binary, tokens binary"
 _BLOCK = pa.schema([("block", pa.int64()), *[(n, pa.binary()) for n in ("ids", "held", "ends", "words", "tokens")]])
 #: The end token's hash; a word with the same 64 bits would count as an end.
 END = np.uint64(0x9E3779B97F4A7C15)
+#: Tokens that look for their arcs at a time.
+STEP = 1 << 19
 #: Bits of a text in a block.
 HELD, NULL_ID = 1, 2
 
@@ -106,6 +108,17 @@ def _mixed(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values, sorted; a place of each; and which of them stands at each place."""
+    order = np.argsort(values)
+    values = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    at = np.empty(len(values), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - 1
+    return values[new], order[new], at
+
+
 class Grams:
     """A block's distinct words, pairs and triples (sorted hashes), and which of them end at each token.
 
@@ -113,18 +126,21 @@ class Grams:
 
     def __init__(self, words: np.ndarray, tokens: np.ndarray, ends: np.ndarray):
         now = words[tokens]
-        before = np.empty_like(now)
-        before[1:] = now[:-1]
-        before[:1] = END  # each later text follows the end of the one before it
-        pair = _mixed(before, now)
+        pair = np.empty_like(now)
+        pair[1:] = now[:-1]
+        pair[:1] = END  # each later text follows the end of the one before it
+        pair = _mixed(pair, now)
         inner = np.ones(len(now), bool)
         inner[(ends - np.diff(ends, prepend=0))] = False
         inner = np.flatnonzero(inner)
-        self.words, self.word_at = words, tokens.astype(np.int64)
-        self.pairs, self.pair_first, self.pair_at = np.unique(pair, return_index=True, return_inverse=True)
-        self.triples, first, at = np.unique(_mixed(pair[inner - 1], now[inner]), return_index=True, return_inverse=True)
+        triple = _mixed(pair[inner - 1], now[inner])
+        del now
+        self.words, self.word_at = words, tokens.astype(np.int32)
+        self.pairs, self.pair_first, self.pair_at = _distinct(pair)
+        del pair
+        self.triples, first, at = _distinct(triple)
         self.triple_first = inner[first]
-        self.triple_at = np.full(len(now), -1, np.int64)
+        self.triple_at = np.full(len(tokens), -1, np.int32)
         self.triple_at[inner] = at
 
     def kinds(self) -> tuple[tuple[np.ndarray, np.ndarray], ...]:
@@ -171,24 +187,23 @@ class Automaton:
 
     def __init__(self, grams: Grams, counts: list[np.ndarray], stats: dict, mu: float, mu3: float):
         total, distinct, once, twice = (stats[k] for k in ("total", "distinct", "once", "twice"))
-        c1, c2, c3 = (c.astype(float) for c in counts)
+        c1, c2, c3 = counts
         discount = once / (once + 2 * twice) if once and twice else 0.5
         if not distinct:
             p1 = np.ones(len(c1))  # nothing learned: the unknown word is certain
         else:
             p1 = np.where(c1 > 0, (c1 - discount) / total, discount * distinct / total)
-        word_at, pair_at = grams.word_at, grams.pair_at
         end = int(np.searchsorted(grams.words, END))
-        last = word_at[grams.pair_first]
-        first = np.where(grams.pair_first > 0, word_at[grams.pair_first - 1], end)
+        last = grams.word_at[grams.pair_first]
+        first = np.where(grams.pair_first > 0, grams.word_at[grams.pair_first - 1], end)
         p2 = (c2 + mu * p1[last]) / (c1[first] + mu)
-        out, into = pair_at[grams.triple_first - 1], pair_at[grams.triple_first]
+        out, into = grams.pair_at[grams.triple_first - 1], grams.pair_at[grams.triple_first]
         p3 = (c3 + mu3 * p2[into]) / (c2[out] + mu3)
         w, seen2 = len(c1), c2 > 0
         self.weights = [np.log10(p1), np.where(seen2, np.log10(p2), np.nan), np.where(c3 > 0, np.log10(p3), np.nan)]
-        self.fail_to = np.concatenate(([0], np.zeros(w, np.int64), 1 + last))
+        self.fail_to = np.concatenate((np.zeros(1 + w, np.int32), 1 + last))
         self.fail_weight = np.concatenate(([0.0], np.log10(mu / (c1 + mu)), np.log10(mu3 / (c2 + mu3))))
-        self.pair_state = np.where(seen2, 1 + w + np.arange(len(c2)), np.where(c1[last] > 0, 1 + last, 0))
+        self.pair_state = np.where(seen2, 1 + w + np.arange(len(c2), dtype=np.int32), np.where(c1[last] > 0, 1 + last, 0)).astype(np.int32)
         self.n_words, self.start = w, 1 + end if c1[end : end + 1].sum() > 0 else 0
 
     def traverse(self, grams: Grams, ends: np.ndarray) -> np.ndarray:
@@ -198,23 +213,25 @@ class Automaton:
         the texts carry from token to token are known beforehand; from these all tokens look for their
         arc at once, and follow failure arcs until they have one."""
         arcs = (grams.word_at, grams.pair_at, grams.triple_at)
-        carried = np.empty(len(grams.word_at), np.int64)
+        carried = np.empty(len(grams.word_at), np.int32)
         carried[1:] = self.pair_state[grams.pair_at[:-1]]
         starts = ends - np.diff(ends, prepend=0)
         carried[starts] = self.start
         score = np.zeros(len(carried))
-        live, state = np.arange(len(carried)), carried
-        while len(live):
-            order = (state > 0).astype(np.int8) + (state > self.n_words)
-            step = np.full(len(live), np.nan)
-            for k, weights in enumerate(self.weights):
-                own = np.flatnonzero(order == k)
-                step[own] = weights[arcs[k][live[own]]]
-            failed = np.isnan(step)
-            score[live[~failed]] += step[~failed]
-            live, state = live[failed], state[failed]
-            score[live] += self.fail_weight[state]
-            state = self.fail_to[state]
+        for a in range(0, len(carried), STEP):
+            state = carried[a : a + STEP]
+            live = np.arange(a, a + len(state))
+            while len(live):
+                order = (state > 0).astype(np.int8) + (state > self.n_words)
+                step = np.full(len(live), np.nan)
+                for k, weights in enumerate(self.weights):
+                    own = np.flatnonzero(order == k)
+                    step[own] = weights[arcs[k][live[own]]]
+                failed = np.isnan(step)
+                score[live[~failed]] += step[~failed]
+                live, state = live[failed], state[failed]
+                score[live] += self.fail_weight[state]
+                state = self.fail_to[state]
         return np.add.reduceat(score, starts) if len(ends) else np.zeros(0)
 
 
@@ -334,8 +351,8 @@ def lm_score(df: DataFrame, *, mu: float = 1000.0, mu3: float = 20.0, alpha: flo
     def score(key: tuple, block: pa.Table, totals: pa.Table) -> pa.Table:
         ids, flags, ends, words, tokens = _load(block.to_pylist()[0])
         totals = totals.sort_by([("kind", "ascending"), ("sub", "ascending")])
-        counts = [np.concatenate([_expand(x, np.uint64) for x in totals.filter(pc.equal(totals.column("kind"), kind)).column("totals").to_pylist()]).astype(np.int64) for kind in range(3)]
         grams = Grams(words, tokens, ends)
+        counts = [np.concatenate([_expand(x, np.uint64) for x in totals.filter(pc.equal(totals.column("kind"), kind)).column("totals").to_pylist()]).astype(float) for kind in range(3)]
         starts, lengths = ends - np.diff(ends, prepend=0), np.diff(ends, prepend=0)
         log_p = Automaton(grams, counts, stats, mu, mu3).traverse(grams, ends)
         base = np.log10((counts[0] + alpha) / (stats["total"] + alpha * (stats["distinct"] + 1)))

@@ -47,10 +47,10 @@ def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, cap: float = 3
         full |= above
 
 
-def solve(cells: DataFrame, target: dict[str, float], cap: float, steps: int = 40) -> dict[str, float]:
+def solve(cells: DataFrame, target: dict[str, float], cap: float, steps: int = 200) -> dict[str, float]:
     """The multipliers by key: Newton on the dual, kept within a bracket that halves when a step leaves it.
 
-    cells has key, x (scaled size), size, n."""
+    cells has key, x (scaled size), size, n. Raises if a source is not within a millionth of its target after ``steps``."""
     spark = cells.sparkSession
     lam = dict.fromkeys(target, 0.0)
     low, high = dict.fromkeys(target, -math.inf), dict.fromkeys(target, math.inf)
@@ -75,8 +75,8 @@ def solve(cells: DataFrame, target: dict[str, float], cap: float, steps: int = 4
                 step = sum(ends) / 2 if len(ends) == 2 else 2 * lam[k] + math.copysign(1.0, -gap)
             lam[k] = min(1e9, max(-1e9, step))
         if done:
-            break
-    return lam
+            return lam
+    raise RuntimeError(f"no multipliers within a millionth of the targets in {steps} steps")
 
 
 def mix(df: DataFrame, *, weights=WEIGHTS, cap: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -110,18 +110,19 @@ def mix(df: DataFrame, *, weights=WEIGHTS, cap: int = 3, id_col: str = "doc_id",
 
     # What a source lacks or has too much is met by whole copies, the largest that fits each time.
     change: dict[tuple[str, int], int] = {}
-    for _ in range(6):
+    while True:
         moved = spark.createDataFrame([(k, s, c) for (k, s), c in change.items()], "key string, size long, more long")
         now = cells.join(moved, ["key", "size"], "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0)))
-        gaps = {r["key"]: want[r["key"]] - r["got"] for r in now.groupBy("key").agg(F.sum(F.col("total") * F.col("size")).alias("got")).collect()}
+        gaps = {r["key"]: want[r["key"]] - r["got"] for r in now.groupBy("key").agg(F.sum(F.col("total") * F.col("size")).alias("got")).collect()}  # one row a source
         table = spark.createDataFrame(list(gaps.items()), "key string, gap double")
-        can = F.when(F.col("gap") > 0, F.col("total") < cap * F.col("n")).otherwise(F.col("total") > 0)
-        picks = now.join(table, "key").filter(can & (F.col("size") > 0) & (F.col("size") <= F.abs("gap"))).groupBy("key").agg(F.max("size").alias("size")).collect()
+        room = F.when(F.col("gap") > 0, cap * F.col("n") - F.col("total")).otherwise(F.col("total"))
+        fits = F.struct("size", F.least(room, F.floor(F.abs("gap") / F.col("size"))).cast("long").alias("n"))
+        picks = now.join(table, "key").filter((room > 0) & (F.col("size") > 0) & (F.col("size") <= F.abs("gap"))).groupBy("key").agg(F.max(fits).alias("pick")).collect()
         if not picks:
             break
         for r in picks:
-            at = (r["key"], r["size"])
-            change[at] = change.get(at, 0) + (1 if gaps[r["key"]] > 0 else -1)
+            at = (r["key"], r["pick"]["size"])
+            change[at] = change.get(at, 0) + r["pick"]["n"] * (1 if gaps[r["key"]] > 0 else -1)
     moved = spark.createDataFrame([(k, s, c) for (k, s), c in change.items()], "key string, size long, more long")
     cells = cells.join(moved, ["key", "size"], "left").withColumn("total", F.col("total") + F.coalesce("more", F.lit(0))).drop("more")
 

@@ -40,7 +40,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def _canonical(text: str) -> str:
     out = f"regexp_replace(lower(coalesce({text}, '')), {_quoted(L.COPYRIGHT_LINE)}, ' ', 'g')"
     out = f"' ' || trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') || ' '"
-    for a, b in L.SPELLINGS:
+    for a, b in (pair for pair in L.SPELLINGS for _ in range(2)):
         out = f"replace({out}, ' {a} ', ' {b} ')"
     return f"trim({out}, ' ')"
 

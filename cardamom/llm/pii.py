@@ -15,6 +15,8 @@ a row. An empty table gives an empty result. Columns besides id and text do not
 
 from __future__ import annotations
 
+import bisect
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -24,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import Staged
+from cardamom.llm._common import Staged, free
 from cardamom.llm.packing import chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -35,7 +37,12 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT_TOKEN = re.compile(r"[0-9][^ \t-\r]*")
 BLANK = " \t\n\x0b\x0c\r"
-LABEL = re.compile(r"([A-Za-z_][A-Za-z0-9_.-]*[=:])[\"']?$")
+LABEL_START = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz_")
+LABEL_CHARS = LABEL_START | frozenset("0123456789.-")
+WORD = re.compile(r"[^ \t-\r]+")
+QUOTES = "\"'"
+#: Longer patterns are known by their digest.
+LONG_PATTERN = 64
 #: Blank-separated groups of digits, and of capitals between them, may be pieces of one instance.
 PIECE = re.compile(r"[+(]?[0-9A-Z][0-9A-Z().+/-]*")
 #: Not a label: groups of hexadecimal digits with colons.
@@ -86,35 +93,77 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _before(text: str, start: int) -> str | None:
-    """The lexical pattern before a position: a label or word, in lower case."""
-    end = start
-    for _ in range(3):
-        while end and text[end - 1] in BLANK:
+def _pattern(word: str) -> str:
+    """A word or label as a lexical pattern."""
+    word = word.strip(QUOTES)
+    return word.lower() if len(word) <= LONG_PATTERN else "#" + hashlib.sha256(word.casefold().encode("utf-8", "surrogatepass")).hexdigest()
+
+
+class Before:
+    """The lexical patterns before positions of a text: a label or word with a letter, up to three words back.
+
+    The digest of what stands in a long word before a position goes on from that of an earlier position."""
+
+    def __init__(self, text: str):
+        self.text, self.starts, self.long = text, None, (-1, 0, None, False)
+
+    def __call__(self, start: int) -> str | None:
+        text, end = self.text, start
+        for _ in range(3):
+            while end and text[end - 1] in BLANK:
+                end -= 1
+            if not end:
+                return None
+            at = end - 1
+            while at and text[at - 1] not in BLANK and end - at <= LONG_PATTERN:
+                at -= 1
+            if end - at <= LONG_PATTERN:
+                if any(c.isalpha() for c in text[at:end]):
+                    return _pattern(text[at:end])
+            else:
+                at = self._word_start(end)
+                if found := self._digest(at, end):
+                    return found
+            end = at
+        return None
+
+    def _word_start(self, end: int) -> int:
+        if self.starts is None:
+            self.starts = [m.start() for m in WORD.finditer(self.text)]
+        return self.starts[bisect.bisect_left(self.starts, end) - 1]
+
+    def _digest(self, at: int, end: int) -> str | None:
+        text = self.text
+        while at < end and text[at] in QUOTES:
+            at += 1
+        while end > at and text[end - 1] in QUOTES:
             end -= 1
-        at = end
-        while at and text[at - 1] not in BLANK and end - at < 64:
-            at -= 1
-        word = text[at:end]
-        if not word:
-            return None
-        if any(c.isalpha() for c in word):
-            return word.strip("\"'").lower()
-        end = at
-    return None
+        if end - at <= LONG_PATTERN:
+            return _pattern(text[at:end]) if any(c.isalpha() for c in text[at:end]) else None
+        key, upto, digest, letters = self.long
+        if key != at or upto > end:
+            upto, digest, letters = at, hashlib.sha256(), False
+        new = text[upto:end]
+        digest.update(new.casefold().encode("utf-8", "surrogatepass"))
+        letters = letters or any(c.isalpha() for c in new)
+        self.long = (at, end, digest, letters)
+        return "#" + digest.hexdigest() if letters else None
 
 
 def _label(token: str) -> tuple[str, int] | None:
-    """(label in lower case, its end) of a token with a label glued to its value by "=" or ":"."""
+    """(pattern of the label, its end) of a token with a label glued to its value by "=" or ":"."""
     at = {c: token.find(c) for c in "=:"}
     for c, cut in sorted(at.items(), key=lambda x: x[1]):
         if cut < 0:
             continue
-        head = token[max(0, cut - 64) : cut + 1]
-        m = LABEL.search(head)
+        start = cut
+        while start and token[start - 1] in LABEL_CHARS:
+            start -= 1
+        while start < cut and token[start] not in LABEL_START:
+            start += 1
         # A colon also stands within values: its label starts the token.
-        if m and (c == "=" or (cut < 64 and not head[: m.start()].strip("\"'([{<") and not HEX_GROUPS.match(token))):
-            return m.group(1).lower(), cut + 1
+        if start < cut and (c == "=" or (not token[:start].strip("\"'([{<") and not HEX_GROUPS.match(token))):
+            return _pattern(token[start : cut + 1]), cut + 1
     return None
 
 
@@ -159,9 +208,9 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, in
     """(start, end, value, pattern, is seed) of the base spans and of other instances with digits.
 
     An instance is a token, or digit groups that single blanks join."""
-    out, taken = [], sorted((a, b) for _, a, b in spans)
+    out, taken, before = [], sorted((a, b) for _, a, b in spans), Before(text)
     for _, a, b in spans:
-        if p := _before(text, a):
+        if p := before(a):
             out.append((a, b, text[a:b].lower(), p, True))
     k = done = 0
     for m in DIGIT_TOKEN.finditer(text):
@@ -182,19 +231,20 @@ def mentions(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, in
             end = _run(text, a, b, taken[k][0] if k < len(taken) else len(text))
         a, b = _bare(text, a, end)
         done = b
-        if pattern := pattern or _before(text, a):
+        if pattern := pattern or before(a):
             out.append((a, b, text[a:b].lower(), pattern, False))
     return out
 
 
 SPAN = "struct<kind:string,start:int,end:int>"
-FOUND = f"row_key long, doc_id long, spans array<{SPAN}>, mentions array<struct<start:int,end:int,value:string,pattern:string,seed:boolean>>"
+FOUND = f"row_key binary, doc_id long, spans array<{SPAN}>, mentions array<struct<start:int,end:int,value:string,pattern:string,seed:boolean>>"
 _SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 _MENTION = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("value", pa.string()), ("pattern", pa.string()), ("seed", pa.bool_())]))
 
 
 def _row_key(id_col: str, text_col: str) -> Column:
-    return F.xxhash64(F.col(id_col), F.col(text_col))
+    """128 bits that tell rows of different id or text apart; rows alike in both have the same spans."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("\0"), F.coalesce(F.col(text_col), F.lit("")))))
 
 
 def _find(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -240,11 +290,11 @@ def _word_counts(df: DataFrame, text_col: str, patterns: DataFrame) -> DataFrame
             counted = words.value_counts()
             sums: dict[str, int] = {}
             for w, n in zip(counted.field(0).to_pylist(), counted.field(1).to_pylist(), strict=True):
-                w = w.strip("\"'").lower()
+                bare, w = w.strip("\"'"), _pattern(w)
                 x = h(w, 42) & mask
                 if held[x >> 5] >> (x & 31) & 1:
                     sums[w] = sums.get(w, 0) + n
-                if ("=" in w or ":" in w[:-1]) and (label := _label(w)) and label[0] != w:
+                if ("=" in bare or ":" in bare[:-1]) and (label := _label(bare)) and label[0] != w:
                     sums[label[0]] = sums.get(label[0], 0) + n
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], names=["pattern", "n"])
 
@@ -298,14 +348,15 @@ def span_text(spans: Column) -> Column:
 def redact(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **scoring) -> DataFrame:
     """The input with each span of ``text_col`` replaced by its kind in angle brackets."""
     found = find_pii(df, id_col=id_col, text_col=text_col, **scoring)
-    hit = found.filter((F.size("base_spans") > 0) | (F.size("added_spans") > 0)).groupBy(F.col("row_key").alias("_pii_row")).agg(F.first(F.concat("base_spans", "added_spans")).alias("_pii_spans"))
-    rows = df.withColumn("_pii_key", _row_key(id_col, text_col)).join(hit, F.col("_pii_key") == F.col("_pii_row"), "left")
+    key, row, spans = (free(df, c) for c in ("_pii_key", "_pii_row", "_pii_spans"))
+    hit = found.filter((F.size("base_spans") > 0) | (F.size("added_spans") > 0)).groupBy(F.col("row_key").alias(row)).agg(F.first(F.concat("base_spans", "added_spans")).alias(spans))
+    rows = df.withColumn(key, _row_key(id_col, text_col)).join(hit, F.col(key) == F.col(row), "left")
     # Spans may overlap: those that begin inside an earlier one only widen it.
-    by_place = F.array_sort(F.transform("_pii_spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("longest_first"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    by_place = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("longest_first"), s["end"].alias("end"), s["kind"].alias("kind"))))
     step = lambda a, s: F.struct(
         F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(F.col(text_col), a["at"] + 1, s["start"] - a["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(a["out"]).alias("out"),
         F.greatest(a["at"], s["end"]).alias("at"),
     )
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
     done = F.aggregate(by_place, start, step, lambda a: F.concat(a["out"], F.substring(F.col(text_col), a["at"] + 1, F.length(F.col(text_col)))))
-    return rows.withColumn(text_col, F.when(F.col("_pii_spans").isNull(), F.col(text_col)).otherwise(done)).select(*df.columns)
+    return rows.withColumn(text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(done)).select(*df.columns)

@@ -13,8 +13,9 @@ Null, empty and blank texts have fingerprint zero and are linked like any other.
 Repeated rows share a fingerprint. An empty table gives an empty result. Other
 columns of the input do not matter.
 
-The near-duplicate stage (``similar_groups``) needs all pairs of a given Jaccard similarity,
-which no limit on fingerprints gives: it joins the texts by their rarest shingles instead."""
+The near-duplicate stage (``similar_groups``, ``one_of_each``) asks for a Jaccard similarity, which
+no limit on fingerprints tells. It verifies the links of the fingerprints on whole texts,
+and finds the rest by joining texts by their rarest shingles."""
 
 from __future__ import annotations
 
@@ -375,31 +376,117 @@ def simhash_groups(df: DataFrame, *, limit: int = 4, width: int = 4, id_col: str
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def similar_groups(df: DataFrame, *, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, component_id; linked are texts with ``similarity`` of shingles in common.
+def neighbours(rows: DataFrame) -> DataFrame:
+    """The rows (token, node, size, pos) whose token others have too, with n_node, n_size, n_pos: the next of the token by size.
 
-    All such texts are found: two of them share one of their first shingles (``prefixes``), and
-    each candidate is verified on the whole texts unless verified links join its ends already.
-    First each text is held against the next in size of each shingle, which joins groups of near
-    copies; then all candidates between different groups are verified. Nodes are distinct texts."""
+    Rows are dealt out by ranges, so the many of a common token are several tasks' work; the first and
+    last row of each range (all are kept) are put in order afterwards, two for each range."""
+    cols = ["token", "node", "size", "pos"]
+    names = [*cols, "n_node", "n_size", "n_pos", "edge"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def give(t: pa.Table, keep: np.ndarray, nexts: list[pa.Array], edge: bool) -> pa.RecordBatch:
+            own = t.filter(pa.array(keep))
+            return pa.RecordBatch.from_arrays([*(own.column(c).combine_chunks() for c in cols), *(x.filter(pa.array(keep)) for x in nexts), pa.array(np.full(own.num_rows, edge))], names=names)
+
+        held, before = None, False  # the last row so far, and whether it has one before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch.select(cols)])
+            if held is None:
+                yield give(t.slice(0, 1), np.ones(1, bool), [pa.nulls(1, x) for x in (pa.int64(), pa.int32(), pa.int32())], True)
+            else:
+                t = pa.concat_tables([held, t])
+            token = t.column("token").to_numpy()
+            same = token[1:] == token[:-1]
+            prev = np.concatenate(([before], same))
+            if len(same):
+                follow = [pa.array(t.column(c).to_numpy()[1:], mask=~same) for c in cols[1:]]
+                out = give(t.slice(0, len(same)), same | prev[:-1], follow, False)
+                if out.num_rows:
+                    yield out
+            held, before = t.slice(len(same)).combine_chunks(), bool(prev[-1])
+        if held is not None:
+            yield give(held, np.ones(1, bool), [pa.nulls(1, x) for x in (pa.int64(), pa.int32(), pa.int32())], True)
+
+    schema = "token long, node long, size int, pos int, n_node long, n_size int, n_pos int, edge boolean"
+    ranges = rows.repartitionByRange("token", "size", "node").sortWithinPartitions("token", "size", "node")
+    found = Staged(ranges.mapInArrow(run, schema), "neighbours").read()
+    order = Window.orderBy("token", "size", "node")
+    ahead = F.lead(F.struct(*cols)).over(order)
+    edges = found.filter("edge").select(*cols).withColumn("ahead", ahead)
+    same = F.col("ahead.token") == F.col("token")
+    edges = edges.select(*cols, *[F.when(same, F.col(f"ahead.{c}")).alias(f"n_{c}") for c in cols[1:]])
+    return found.filter("not edge").drop("edge").unionByName(edges)
+
+
+def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
+    """Distinct links (a < b) of neighbours that may be similar."""
+    near = rows.filter("n_node is not null and n_node <> node").select(*[F.col(c).alias(f"a_{c}") for c in ("node", "size", "pos")], *[F.col(f"n_{c}").alias(f"b_{c}") for c in ("node", "size", "pos")])
+    near = near.filter(_may_be_similar("a_", "b_", similarity))
+    return near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+
+
+def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, limit: int = 4, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of the rows, nodes being distinct texts, and (node, component) of the nodes that have links.
+
+    Linked are texts with ``similarity`` of shingles in common. All such texts are found:
+    1. SimHash: fingerprints within ``limit`` bits (the links of ``near_links``, and each text with the next one of
+       its fingerprint) are candidates, verified on whole texts.
+    2. Two such texts share one of their first shingles (``prefixes``). Each text is held against the next in size
+       of each shingle whose texts are not all of one group yet.
+    3. All candidates between groups that are still different are verified."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("node"), F.col(text_col).alias("text"))
     prints = Staged(docs.select("doc_id", "node"), "text-nodes").read()
-    nodes = Staged(prints.groupBy("node").agg(F.min("doc_id").alias("rep")), "nodes").read()
-    by = Window.partitionBy("token").orderBy("size", "node")
-    place = F.struct("node", "size", "pos")
-    rows = prefixes(docs, width, similarity).select("*", F.lead(place).over(by).alias("next"), F.lag("node").over(by).alias("prev")).filter("next is not null or prev is not null")
-    rows = Staged(rows, "shared-shingles").read()
-    near = rows.select(F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("pos").alias("a_pos"), F.col("next.node").alias("b"), F.col("next.size").alias("b_size"), F.col("next.pos").alias("b_pos"))
-    near = near.filter("a <> b").filter(_may_be_similar("a_", "b_", similarity))
-    tried = Staged(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-links").read()
+    marks = Staged(fingerprints(docs, id_col="node", width=width).groupBy(F.col("doc_id").alias("node")).agg(F.first("fp").alias("fp")), "text-fingerprints").read()
+    heads = Staged(marks.groupBy("fp").agg(F.min("node").alias("node")), "fingerprint-heads").read()
+    far = near_links(heads.select("fp"), limit).join(heads.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    zero = F.lit(0)
+    alike = neighbours(marks.select(F.col("fp").alias("token"), "node", zero.alias("size"), zero.alias("pos"))).filter("n_node is not null and n_node <> node").select(F.least("node", "n_node").alias("a"), F.greatest("node", "n_node").alias("b"))
+    tried = Staged(far.unionByName(alike).distinct(), "simhash-links").read()
     links = Staged(similar_links(tried, docs, width, similarity), "similar-links").read()
-    groups = Staged(components(links), "similar-groups").read()
+    rows = neighbours(prefixes(docs, width, similarity).distinct())
+    rows = Staged(rows, "shared-shingles").read()
+    near = Staged(_pairs(_mixed(rows, links), similarity).join(tried, ["a", "b"], "left_anti"), "near-links").read()
+    links = Staged(links.unionByName(similar_links(near, docs, width, similarity)), "similar-links").read()
     # A shingle whose texts are all of one group has nothing left to verify.
-    rows = rows.select("token", "node", "size", "pos").distinct().join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
-    rows = Staged(rows.join(mixed, "token", "left_semi"), "mixed-shingles").read()
+    rows = Staged(_mixed(rows, links), "mixed-shingles").read()
     sides = [rows.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "pos", "component")]) for x in "ab"]
     pairs = sides[0].join(sides[1], "token").filter("a_node < b_node and a_component <> b_component").filter(_may_be_similar("a_", "b_", similarity))
-    rest = pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    rest = pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    for done in (tried, near):
+        rest = rest.join(done, ["a", "b"], "left_anti")
     more = similar_links(Staged(rest, "other-links").read(), docs, width, similarity)
-    return _grouped(prints, nodes, links.unionByName(more), "node").select("doc_id", "component_id")
+    return prints, Staged(components(links.unionByName(more)), "similar-groups").read()
+
+
+def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of tokens whose nodes are of several groups, with the ``component`` of each."""
+    groups = Staged(components(links), "similar-groups").read()
+    rows = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
+    return rows.join(mixed, "token", "left_semi")
+
+
+def similar_groups(df: DataFrame, **how) -> DataFrame:
+    """One row per input row: doc_id, component_id (the least doc_id of the group; see ``similar_nodes``)."""
+    prints, groups = similar_nodes(df, **how)
+    per_node = prints.groupBy("node").agg(F.min("doc_id").alias("rep")).join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = per_node.groupBy("component").agg(F.min("rep").alias("component_id"))
+    return prints.join(per_node.join(least, "component").select("node", "component_id"), "node").select("doc_id", "component_id")
+
+
+def one_of_each(df: DataFrame, **how) -> DataFrame:
+    """One row of each group of similar texts: that of the least doc_id (null ids last, unlike texts under one id are
+    different documents). All columns stay."""
+    prints, groups = similar_nodes(df, **how)
+    id_col, text_col = how.get("id_col", "doc_id"), how.get("text_col", "text")
+    rows = prints.groupBy("doc_id", "node").agg(F.count("*").alias("n")).join(groups, "node", "left")
+    by = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    kept = rows.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min(by).alias("k"), F.min_by("n", by).alias("n")).select(F.col("k.node").alias("_k_node"), F.col("k.doc_id").alias("_k_id"), (F.col("n") > 1).alias("_k_again"))
+    mine = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    found = df.select(mine.alias("_row"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_node"), F.col(id_col).cast("long").alias("_id"))
+    found = found.join(kept, (F.col("_node") == F.col("_k_node")) & F.col("_id").eqNullSafe(F.col("_k_id")))
+    again = found.filter("_k_again").groupBy("_node", "_id").agg(F.first("_row").alias("_row"))  # the same row several times
+    return found.filter("not _k_again").select("_row.*").unionByName(again.select("_row.*"))

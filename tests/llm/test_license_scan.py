@@ -24,6 +24,15 @@ def test_notices(spark):
     assert got == {1: "CC-BY-NC-4.0,MIT-notice", 2: ""}
 
 
+def test_spellings_next_to_each_other_and_long_texts(spark):
+    from cardamom.llm.license_scan import canonical, digest
+
+    df = spark.createDataFrame([(1, "http http http://x licence licence"), (2, "Licence, " * 50_000)], "doc_id long, text string")
+    got = [r["c"] for r in df.select(canonical(df["text"]).alias("c")).collect()]
+    assert got == ["https https https x license license", ("license " * 50_000).strip()]
+    assert df.select(digest(df["text"]).alias("d")).distinct().count() == 2
+
+
 def test_empty_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "x", "d", "l")], "doc_id long, text string, digest string, license_id string")
     assert license_scan(df).count() == 1 and license_scan(df.limit(0)).count() == 0

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cardamom.llm.mixing import mix, targets
+from cardamom.llm.mixing import mix, solve, targets
 
 
 def test_targets():
@@ -36,6 +36,35 @@ def test_mix(spark):
     assert {round(t, 6) for t, _ in sums} == {round(t, 6) for t in goal.values()}
 
 
+def test_multipliers_solve_the_dual(spark):
+    """Against bisection of each source alone; and no answer where there is none."""
+    import math
+
+    rng = random.Random(2)
+    sizes = {s: [rng.choice([1, 2, 7, 30, 300]) for _ in range(200)] for s in ("a", "b", "c")}
+    share = {"a": 0.4, "b": 1.7, "c": 2.9}
+    scale = {s: sum(v) / len(v) for s, v in sizes.items()}
+    want = {s: share[s] * sum(v) for s, v in sizes.items()}
+    cells = [(s, n / scale[s], n, v.count(n)) for s, v in sizes.items() for n in set(v)]
+    df = spark.createDataFrame(cells, "key string, x double, size long, n long")
+    got = solve(df, want, 3.0)
+    for s in sizes:
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            words = sum(n * min(3.0, math.exp(mid * n / scale[s])) for n in sizes[s])
+            low, high = (mid, high) if words < want[s] else (low, mid)
+        assert got[s] == pytest.approx(low, abs=1e-4)
+    with pytest.raises(RuntimeError):
+        solve(df, want, 3.0, steps=1)
+
+
+def test_long_text_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "w " * 200_000, "a", "x", 1), (2, "v", "a", "y", 2)], "doc_id long, text string, source string, key string, salt int")
+    out = {r["doc_id"]: r for r in mix(df, carry=("key", "salt")).collect()}
+    assert out[1]["size"] == 200_000 and out[1]["key"] == "x" and out[2]["salt"] == 2
+
+
 def test_reruns_agree_whatever_the_partitions(spark):
     df = spark.createDataFrame(rows(), "doc_id long, text string, source string")
     one = sorted(map(tuple, mix(df).collect()))
