@@ -1,24 +1,26 @@
 """The corpus pipeline: from documents to packed sequences in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the last
-return the columns of documents; run() writes each stage's rows to the shared folder
-and reads them again for the next. Rows without doc_id pass the near-duplicate stage
-unchanged; an empty table gives an empty result."""
+return the columns of documents, and further ones of the input, whatever their names; run() writes each
+stage's rows to the shared folder and reads them again for the next. Null and empty texts are documents without
+words: quality keeps them, near_duplicates keeps one of them, and each is packed as an end token. Rows without doc_id
+are documents like any other. Unlike texts under one doc_id are different documents; the same row several
+times is one. Very long texts are read whole. An empty table gives an empty result."""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import Staged, documents, ship
+from cardamom.llm._common import Staged, documents, free, ship
 from cardamom.llm.mixing import RESERVED, mix
 from cardamom.llm.packing import pack
 from cardamom.llm.pii import redact
 from cardamom.llm.quality_classifier import classify
-from cardamom.llm.simhash import similar_groups
+from cardamom.llm.simhash import one_of_each
 
-#: No stage after the first can be written in SQL: tests hold run() against brute force.
+#: No stage can be written in SQL: tests hold each stage, on what its predecessor gave, against a brute-force version.
 ORACLE_SQL = None
 TOKENIZER = "word_bpe_49k.json"
 
@@ -27,18 +29,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier keeps; it learns from the labels of the same folder."""
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return classify(docs, labels, prefix="_quality_").filter("_quality_kept").select(*docs.columns)
+    prefix = "_quality_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    return classify(docs, labels, prefix=prefix).filter(f"{prefix}kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group whose texts share 0.8 of their five-word shingles."""
     ship(spark)
-    groups = similar_groups(docs)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    one = rows.withColumn("_first", first).filter("_first = 1").select(*docs.columns)
-    return one.unionByName(docs.filter("doc_id is null"))
+    return one_of_each(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix of sources takes it."""
     ship(spark)
     others = tuple(c for c in docs.columns if c != "doc_id")
-    mixed = mix(docs, carry=others).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("copies"), F.lit(1)).cast("int")))).filter("copies > 0")
+    mixed = mix(docs, carry=others).filter("copies > 0")
+    mixed = mixed.withColumn(free(mixed, "_copy"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return mixed.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"c_{c}" if c in RESERVED else c).alias(c) for c in docs.columns])
 
 
