@@ -56,6 +56,12 @@ def annotations(df: DataFrame) -> DataFrame:
     return df.withColumn("alert", F.explode("alerts")).select("country", "store", text.alias("annotation"))
 
 
+def summary(df: DataFrame) -> str:
+    """The alerts as a table for a job's summary page; one row for each store, so it is collected."""
+    rows = df.select("country", "store", "count", "baseline", F.array_join("alerts", "; ").alias("found")).orderBy("country", "store").collect()
+    return "\n".join(["| Catalog | Products | Baseline | Alerts |", "|---|---:|---:|---|", *(f"| {r['country']}/{r['store']} | {r['count']} | {r['baseline']} | {r['found'] or 'none'} |" for r in rows)])
+
+
 def failure_gate(log: DataFrame, *, max_ratio: float = 0.05) -> DataFrame:
     """One row from a batch log (url, error; error null if fine): counts, ratio, passed."""
     out = log.agg(F.count("*").alias("total"), F.count("error").alias("failed"))

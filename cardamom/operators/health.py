@@ -108,5 +108,13 @@ def rollup(health: DataFrame) -> DataFrame:
     return health.agg(F.count("*").alias("stores"), count("pass"), count("warning"), count("error"), F.coalesce(F.sum("product_count"), F.lit(0)).alias("products"), F.coalesce(F.sum("valid_barcodes"), F.lit(0)).alias("barcodes"), worst.alias("status"))
 
 
+def table(health: DataFrame) -> str:
+    """The reports as lines for a terminal; one row for each store, so it is collected."""
+    rows = health.select("country", "store", "status", "product_count", F.format_string("%.1f%%", F.col("barcode_coverage") * 100).alias("coverage"), F.array_join(F.transform("issues", lambda i: i["code"]), ", ").alias("codes")).orderBy("country", "store").collect()
+    lines = [("STORE", "STATUS", "PRODUCTS", "BARCODES", "ISSUES")] + [(f"{r['country']}/{r['store']}", r["status"], str(r["product_count"]), r["coverage"], r["codes"]) for r in rows]
+    wide = [max(len(x[k]) for x in lines) for k in range(4)]
+    return "\n".join("  ".join([*(v.ljust(w) for v, w in zip(x, wide, strict=False)), x[4]]).rstrip() for x in lines)
+
+
 def exit_code(status: str, fail_on: str = "error") -> int:
     return int(status in {"error": ("error",), "warning": ("error", "warning"), "never": ()}[fail_on])

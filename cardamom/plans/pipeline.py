@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +59,18 @@ def totals(before: DataFrame, after: DataFrame, by: Sequence[str] = ("country",
     return a.join(b, on, "left").select(*[a[c] for c in by], "input", F.coalesce("kept", F.lit(0)).alias("kept"))
 
 
+def run_steps(steps: Sequence[tuple[str, Callable[[], object]]]) -> tuple[list[str], tuple[str, Exception] | None]:
+    """Run the steps in order up to the first that raises: the names of those done, and the name and error of that one."""
+    done: list[str] = []
+    for name, step in steps:
+        try:
+            step()
+        except Exception as e:  # a step may fail in any way; the caller reports it
+            return done, (name, e)
+        done.append(name)
+    return done, None
+
+
 def reports(rows: DataFrame, stores: DataFrame, now: Column) -> dict[str, DataFrame]:
     """Quality, health (with issues and status) and its rollup for catalogs of all stores."""
     scraped = health.scrape_time(*[F.col(c) for c in ("scrapedAt", "scraped_at") if c in rows.columns])

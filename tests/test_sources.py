@@ -14,6 +14,7 @@ EAN = "4006381333931"
 
 def put(path, data):
     path.parent.mkdir(parents=True, exist_ok=True)
+    (path.parent / f".{path.name}.crc").unlink(missing_ok=True)
     path.write_text(data if isinstance(data, str) else json.dumps(data))
     return str(path)
 
@@ -53,6 +54,43 @@ def test_stores_and_cli(spark, tmp_path, capsys):
     assert json.loads((tmp_path / "health.json").read_text())[0]["store"] == "plus"
 
 
+def test_commands_that_change_catalogs(spark, tmp_path, capsys):
+    config = put(tmp_path / "stores.json", CONFIG)
+    args = ["--root", str(tmp_path), "--config", config]
+    plus, coop = tmp_path / "d/plus/c.json", tmp_path / "d/coop/c.json"
+    put(plus, json.dumps([{"n": "Hero jam", "p": "1,50", "s": "200 g", "ean": EAN}, {"n": "Hero jam", "p": "1,20", "s": "200 g", "ean": EAN}, {"n": "x", "p": "1"}], indent=2))
+    put(coop, [{"n": "Hero jam", "p": "2", "s": "200 g", "b": EAN}, {"n": "Hero drop", "p": "2", "s": "1 kg"}])
+    read = lambda p: json.loads(p.read_text())
+
+    assert cli.main(["backfill", *args]) == 0 and "all/all: 3 barcodes" not in capsys.readouterr().out
+    assert [r.get("b") for r in read(plus)] == [EAN, EAN, None]
+    assert cli.main(["sanitize", *args, "--rejects", str(tmp_path / "bad")]) == 0
+    out = capsys.readouterr().out
+    assert "nl/plus: 3 rows, 1 kept" in out and "nl/coop: 2 rows, 1 kept" in out and "all/all: 5 rows, 2 kept" in out
+    assert [(r["n"], r["p"], r["ik"]) for r in read(plus)] == [("Hero Jam", "1,20", f"ean:{EAN}")] and [r["n"] for r in read(coop)] == ["Hero Drop"]
+    assert spark.read.json(str(tmp_path / "bad")).count() == 1
+    put(coop, [{"n": "Hero Jam", "ik": f"ean:{EAN}"}, {"n": "Hero Drop", "ik": "z"}])
+    assert cli.main(["overlap", *args]) == 0 and "nl/coop: 2 rows, 1 kept" in capsys.readouterr().out
+    assert [r["n"] for r in read(coop)] == ["Hero Drop"]
+
+    assert cli.main(["run", *args, "--store", "coop"]) == 1 and "scan: " in capsys.readouterr().out and len(read(coop)) == 1
+    put(tmp_path / "d/coop/new_results/1.json", [{"raw_text": "Kaas jong\n2,50\n200 g", "image": "i"}, {"raw_text": "Kaas jong\n3,50"}])
+    assert cli.main(["run", *args, "--store", "coop"]) == 0 and "write: done" in capsys.readouterr().out
+    assert [(r["n"], r["p"]) for r in read(coop)] == [("Kaas Jong", "2.50")]
+
+    put(tmp_path / "d/coop/left.json", [])
+    assert cli.main(["prune", *args, "--dry-run"]) == 0 and "d/coop/left.json" in capsys.readouterr().out and (tmp_path / "d/coop/left.json").exists()
+    assert cli.main(["prune", *args]) == 0 and not (tmp_path / "d/coop/left.json").exists() and coop.exists() and plus.exists()
+    assert cli.main(["alerts", *args, "--summary", str(tmp_path / "s.md")]) == 0 and "| nl/plus | 1 | 0 | none |" in (tmp_path / "s.md").read_text()
+    assert cli.main(["health", *args, "--fail-on", "never"]) == 0 and "STORE" in capsys.readouterr().out
+
+
+def test_steps_end_at_the_first_failure():
+    seen = []
+    done, error = pipeline.run_steps([("a", lambda: seen.append(1)), ("b", lambda: 1 / 0), ("c", lambda: seen.append(2))])
+    assert done == ["a"] and error[0] == "b" and isinstance(error[1], ZeroDivisionError) and seen == [1]
+
+
 def test_baseline(spark, tmp_path):
     path = put(tmp_path / "q.json", [{"store": "a", "total": 5}, {"country": "de", "store": "b"}, {"total": 1}, 4])
     assert sorted(map(tuple, json_catalog.read_baseline(spark, path).collect())) == [("de", "b", 0), ("nl", "a", 5)]
