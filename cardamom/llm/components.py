@@ -1,11 +1,16 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-All steps are joins and aggregations; hot nodes are pre-aggregated and nothing is
+First each task joins what its own edges connect (union-find over a bounded number of nodes at a time) and
+hands on one edge to the least node of each; that leaves few rounds. All further
+steps are joins and aggregations; hot nodes are pre-aggregated and spread, and nothing is
 collected but a count. Each round is written to the shared folder, so a lost
 executor costs one round."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,21 +38,58 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
+#: Nodes that a task joins at a time.
+HELD = 1_000_000
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect what the given ones do, b being the least node that a task's edges lead to from a."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (y := parent[x]) != x:
+                parent[x] = x = parent[y]
+            return x
+
+        def give() -> pa.RecordBatch:
+            pairs = [(x, y) for x in parent if (y := root(x)) != x]
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                parent.setdefault(x, x)
+                parent.setdefault(y, y)
+                x, y = root(x), root(y)
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+            if len(parent) > HELD:
+                yield give()
+                parent.clear()
+        yield give()
+
+    return edges.mapInArrow(run, "a long, b long").distinct()
+
+
+def _state(edges: DataFrame) -> tuple:
+    """What changes with every step that changes something: the sums of all ends fall."""
+    row = edges.agg(F.count("*").alias("n"), F.sum(F.col("b").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+    return row["n"], row["s"], row["h"]
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, component): the least node that each node of an edge can reach.
 
     Nodes of no edge are not listed. Null ends are dropped; loops and repeated edges do no harm."""
-    held = Staged(edges.select(F.least(a, b).alias("b"), F.greatest(a, b).alias("a")).filter("a <> b").distinct().select("a", "b"), "edges")
-    state = None
+    once = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).cast("long").alias("a"), F.least(a, b).cast("long").alias("b")).distinct()
+    held = Staged(_contracted(once), "edges")
+    state = _state(held.read())
     for _ in range(rounds):
         new = Staged(_star(_star(held.read(), True), False), "edges")
         held.drop()
-        held = new
-        # The sums of all ends fall with each step that changes something.
-        row = held.read().agg(F.count("*").alias("n"), F.sum(F.col("b").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        now = (row["n"], row["s"], row["h"])
-        if now == state:
+        held, before, state = new, state, _state(new.read())
+        if state == before:
             out = held.read()
             return out.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(out.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        state = now
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -85,3 +85,16 @@ def test_instances_of_several_groups_and_glued_labels(spark):
     assert values("at 2020-01-01T10:30 x") == [("2020-01-01t10:30", "at")]
     assert values("mac 00:1b:44:11:3a:b7 or aa:bb:cc:11:22:33 x") == [("00:1b:44:11:3a:b7", "mac"), ("aa:bb:cc:11:22:33", "or")]
     assert values("key 12 a 34") == [("12", "key"), ("34", "a")] and values("id 12. 34\n6") == [("12", "id"), ("34", "id"), ("6", "id")]
+
+
+def test_long_labels_and_words_are_patterns(spark):
+    """Of any length, each whole; in a long word the pattern of each place is what stands before it."""
+    label, word = "x" * 200 + "=", "ü" * 90
+    rows = [(k, f"foo {label}+1555{1000000 + k} baz") for k in range(6)] + [(100, f"bar {label}8821377 baz"), (101, f"bar y{label}8821377 baz"), (102, "a 8821377 " * 2000)]
+    rows += [(200 + k, f"{word} 4{k}.2.3.4 and") for k in range(6)] + [(300, f"{word} 5551234 and"), (301, f"{word}ü 5551234 and")]
+    got = {r["doc_id"]: len(r["added_spans"]) for r in P.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i for i, n in got.items() if n} == {100, 300}
+    text = "ab" * 50 + "1.2.3.4" + "cd" * 50 + "5.6.7.8"
+    seen = P.Before(text)
+    assert [seen(k) for k in (100, 207, 100, 207)] == [P._pattern(text[:k]) for k in (100, 207, 100, 207)]
+    assert P.Before("a " + "7" * 100)(102) == "a" and P.Before("1" * 100)(100) is None

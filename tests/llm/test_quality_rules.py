@@ -40,6 +40,12 @@ def test_verdicts(spark):
     assert out[3]["base_failed"] and not out[1]["base_failed"]
 
 
+def test_repeated_rows_and_very_long_texts(spark):
+    rows = [(1, "a b c"), (1, "a b c"), (1, "d"), (None, "a"), (2, " ".join(f"w{i}" for i in range(60_000)))]
+    got = sorted((r["doc_id"] or 0, r["n_words"]) for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(0, 1), (1, 1), (1, 3), (1, 3), (2, 60_000)]
+
+
 def test_other_columns_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b", 7, True)], "doc_id long, text string, n_words int, kept boolean")
     assert quality_rules(df).columns.count("kept") == 1

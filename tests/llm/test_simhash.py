@@ -173,3 +173,35 @@ def test_equal_fingerprints_are_verified(spark):
     assert len({S.fingerprint(t) for _, t in rows}) == 1
     got = dict(map(tuple, S.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
     assert got == {k: k % 100 for k, _ in rows} == jaccard_groups(rows)
+
+
+def test_one_of_each_keeps_unlike_texts_under_one_id(spark):
+    rng = random.Random(8)
+    text = lambda: " ".join(f"w{rng.randrange(500)}" for _ in range(60))
+    a, b, c = text(), text(), text()
+    rows = [(1, a, 5), (1, b, 6), (1, a, 5), (2, a, 7), (None, b, 8), (None, c, 9), (3, None, 1), (4, "", 2), (5, "x y " * 30_000, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, node int").withColumnRenamed("node", "_node")
+    out = S.one_of_each(df)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"] or "", r["_node"]) for r in out.collect()) == sorted([(1, a, 5), (1, b, 6), (0, c, 9), (3, "", 1), (5, "x y " * 30_000, 3)])
+    assert S.one_of_each(df.limit(0)).count() == 0
+
+
+def test_recall_by_similarity(spark):
+    """All pairs are found in each band of similarity from 0.8 on, and none below."""
+    rng = random.Random(12)
+    rows, wanted = [], {}
+    for k in range(120):
+        n = rng.randint(60, 300)
+        a = [f"v{rng.randrange(4000)}" for _ in range(n)]
+        b = list(a)
+        for _ in range(rng.randint(1, max(1, n // 30))):
+            b[rng.randrange(n)] = f"z{rng.randrange(10**6)}"
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+        x, y = (S._shingles(t, 5) for _, t in rows[-2:])
+        wanted[k] = len(x & y) / len(x | y)
+    got = dict(map(tuple, S.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    bands = {}
+    for k, s in wanted.items():
+        bands.setdefault(int(s * 20), []).append(got[2 * k + 1] == 2 * k)
+    assert all(all(v) if band >= 16 else not any(v) for band, v in bands.items()) and {16, 17, 18} <= set(bands)
