@@ -1,5 +1,4 @@
 import collections
-import math
 import random
 import zlib
 
@@ -8,7 +7,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from test_pii import brute
-from test_quality_model import perplexity, plain_model
+from test_quality_model import perplexity, plain_model, quantile
 from test_simhash import jaccard_groups
 from tokenizers import Tokenizer
 
@@ -90,8 +89,7 @@ def test_stages_match_brute_force(spark, folder, tmp_path):
     table = class_table(sorted(points.items(), key=lambda x: (-x[1], x[0])))
     p = plain_model([r[1] for r in trusted if r[0] in seen], table)
     score = {t: perplexity(t, p, table) for t in {r[1] for r in rows if r[1]}}
-    unseen = sorted(score[r[1]] for r in trusted if r[0] not in seen)
-    limit = unseen[max(0, math.ceil(0.999 * len(unseen)) - 1)]
+    limit = quantile([score[r[1]] for r in trusted if r[0] not in seen], 0.999)
     kept = after("quality", docs)
     got = collections.Counter(map(key, kept.collect()))
     for r in docs.collect():
