@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 First each task joins what its own edges connect (union-find over a bounded number of nodes at a time) and
-hands on one edge to the least node of each; that leaves few rounds. All further
+hands on one edge to the least node of each; that leaves few rounds, and none where all edges were in one such piece. All further
 steps are joins and aggregations; hot nodes are pre-aggregated and spread, and nothing is
 collected but a count. Each round is written to the shared folder, so a lost
 executor costs one round."""
@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +44,11 @@ HELD = 1_000_000
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect what the given ones do, b being the least node that a task's edges lead to from a."""
+    """Edges (a, b, piece) that connect what the given ones do, b being the least node that a piece of a task's edges leads to from a."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parent: dict[int, int] = {}
+        piece = TaskContext.get().partitionId() << 32
 
         def root(x: int) -> int:
             while (y := parent[x]) != x:
@@ -55,7 +57,7 @@ def _contracted(edges: DataFrame) -> DataFrame:
 
         def give() -> pa.RecordBatch:
             pairs = [(x, y) for x in parent if (y := root(x)) != x]
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([*(pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)), pa.array([piece] * len(pairs), pa.int64())], names=["a", "b", "piece"])
 
         for batch in batches:
             for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -67,9 +69,10 @@ def _contracted(edges: DataFrame) -> DataFrame:
             if len(parent) > HELD:
                 yield give()
                 parent.clear()
+                piece += 1
         yield give()
 
-    return edges.mapInArrow(run, "a long, b long").distinct()
+    return edges.mapInArrow(run, "a long, b long, piece long")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -78,18 +81,26 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"], row["s"], row["h"]
 
 
+def _listed(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, component): the least node that each node of an edge can reach.
 
     Nodes of no edge are not listed. Null ends are dropped; loops and repeated edges do no harm."""
     once = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).cast("long").alias("a"), F.least(a, b).cast("long").alias("b")).distinct()
     held = Staged(_contracted(once), "edges")
+    ends = held.read().agg(F.min("piece").alias("x"), F.max("piece").alias("y")).first()
+    if ends["x"] == ends["y"]:  # one piece, or no edge at all: each node has its least one
+        return _listed(held.read())
+    held, pieces = Staged(held.read().select("a", "b").distinct(), "edges"), held
+    pieces.drop()
     state = _state(held.read())
     for _ in range(rounds):
         new = Staged(_star(_star(held.read(), True), False), "edges")
         held.drop()
         held, before, state = new, state, _state(new.read())
         if state == before:
-            out = held.read()
-            return out.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(out.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            return _listed(held.read())
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -20,7 +20,7 @@ and finds the rest by joining texts by their rarest shingles."""
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -192,7 +192,7 @@ def _forest(v: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return links
 
 
-def near_links(nodes: DataFrame, limit: int, block: int = 8_192) -> DataFrame:
+def near_links(nodes: DataFrame, limit: int, block: int = 8_192, temporary: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """(a, b): fingerprints within ``limit`` bits; of each group the closest links that keep together what is linked."""
     n, both = bit_statistics(nodes)
     parts, thresholds = allocate(n, both, limit)
@@ -212,7 +212,7 @@ def near_links(nodes: DataFrame, limit: int, block: int = 8_192) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), k, np.int32)), pa.array((key ^ np.uint64(x)).view(np.int64)), pa.array(raw)], names=["part", "key", "fp"])
 
     rows = nodes.select("fp").mapInArrow(signatures, "part int, key long, fp long")
-    rows = Staged(rows, "signatures").read()
+    rows = temporary(rows, "signatures") if temporary else Staged(rows, "signatures").read()
     # Buckets over the block size are split; few rows, but any number.
     sizes = rows.groupBy("part", "key").agg(F.count("*").alias("n")).filter(F.col("n") > block)
     g = F.ceil(F.col("n") / block).cast("int")
@@ -298,23 +298,32 @@ def common_shingles(docs: DataFrame, width: int, sample: int = 5_000, most: int
     return hashes[by], np.array([r["n"] for r in held], np.int64)[by]
 
 
+#: Shingles that two similar texts share among their first ones, if they have so many.
+SHARED = 4
+
+
 def prefixes(docs: DataFrame, width: int, similarity: float) -> DataFrame:
     """(token, node, size, pos): the first shingles of each text in one order for all, rare ones first.
 
-    Of ``size`` shingles so many that two sets with the similarity share one of them."""
+    Of ``size`` shingles so many that two sets with the similarity share SHARED of them, or all that they
+    have in common. A text that a task meets again is listed once."""
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = common.value
+        done: set[int] = set()
         for batch in batches:
             held = []
             for node, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if node in done:
+                    continue
+                done.add(node)
                 own = _set_hashes(x.as_py(), width)
                 rank = np.zeros(len(own), np.int64)
                 if len(hashes):
                     at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
                     rank = np.where(hashes[at] == own, counts[at], 0)
-                n = len(own) - int(np.ceil(similarity * len(own) - 1e-6)) + 1
+                n = len(own) - int(np.ceil(similarity * len(own) - 1e-6)) + SHARED
                 first = own[np.lexsort((own, rank))][:n].view(np.int64)
                 held.append((first, np.full(len(first), node, np.int64), np.full(len(first), len(own), np.int32), np.arange(len(first), dtype=np.int32)))
             if held:
@@ -324,19 +333,20 @@ def prefixes(docs: DataFrame, width: int, similarity: float) -> DataFrame:
 
 
 def _may_be_similar(x: str, y: str, similarity: float) -> Column:
-    """False only where sizes, or what follows the first common shingle, rule the similarity out."""
+    """False only where sizes, or what follows one of the first SHARED common shingles, rule the similarity out."""
     n, m = F.col(f"{x}size"), F.col(f"{y}size")
-    rest = F.least(n - F.col(f"{x}pos"), m - F.col(f"{y}pos"))
+    rest = F.least(n - F.col(f"{x}pos"), m - F.col(f"{y}pos")) + (SHARED - 1)
     return (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-6) & (rest >= similarity / (1 + similarity) * (n + m) - 1e-6)
 
 
-def similar_links(links: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+def similar_links(links: DataFrame, docs: DataFrame, width: int, similarity: float) -> Staged:
     """The links (a, b) whose texts share ``similarity`` of all their shingles (Jaccard).
 
     docs: node, text. Each link carries its two texts once."""
     wanted = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = docs.join(wanted, "node", "left_semi").select("node", "text").dropDuplicates(["node"])
-    texts = Staged(texts, "similar-texts").read()
+    held = Staged(texts, "similar-texts")
+    texts = held.read()
     both = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,7 +361,9 @@ def similar_links(links: DataFrame, docs: DataFrame, width: int, similarity: flo
                 keep.append(same >= similarity * (len(s) + len(t) - same))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    out = Staged(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "similar-links")
+    held.drop()
+    return out
 
 
 def _grouped(prints: DataFrame, nodes: DataFrame, links: DataFrame, key: str = "fp") -> DataFrame:
@@ -376,7 +388,7 @@ def simhash_groups(df: DataFrame, *, limit: int = 4, width: int = 4, id_col: str
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def neighbours(rows: DataFrame) -> DataFrame:
+def neighbours(rows: DataFrame, temporary: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """The rows (token, node, size, pos) whose token others have too, with n_node, n_size, n_pos: the next of the token by size.
 
     Rows are dealt out by ranges, so the many of a common token are several tasks' work; the first and
@@ -398,7 +410,11 @@ def neighbours(rows: DataFrame) -> DataFrame:
                 yield give(t.slice(0, 1), np.ones(1, bool), [pa.nulls(1, x) for x in (pa.int64(), pa.int32(), pa.int32())], True)
             else:
                 t = pa.concat_tables([held, t])
-            token = t.column("token").to_numpy()
+            token, node = t.column("token").to_numpy(), t.column("node").to_numpy()
+            new = np.concatenate(([True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])))
+            if not new.all():  # the same text from several tasks
+                t = t.filter(pa.array(new)).combine_chunks()
+                token = t.column("token").to_numpy()
             same = token[1:] == token[:-1]
             prev = np.concatenate(([before], same))
             if len(same):
@@ -412,7 +428,7 @@ def neighbours(rows: DataFrame) -> DataFrame:
 
     schema = "token long, node long, size int, pos int, n_node long, n_size int, n_pos int, edge boolean"
     ranges = rows.repartitionByRange("token", "size", "node").sortWithinPartitions("token", "size", "node")
-    found = Staged(ranges.mapInArrow(run, schema), "neighbours").read()
+    found = temporary(ranges.mapInArrow(run, schema), "neighbours")
     order = Window.orderBy("token", "size", "node")
     ahead = F.lead(F.struct(*cols)).over(order)
     edges = found.filter("edge").select(*cols).withColumn("ahead", ahead)
@@ -434,39 +450,56 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
     Linked are texts with ``similarity`` of shingles in common. All such texts are found:
     1. SimHash: fingerprints within ``limit`` bits (the links of ``near_links``, and each text with the next one of
        its fingerprint) are candidates, verified on whole texts.
-    2. Two such texts share one of their first shingles (``prefixes``). Each text is held against the next in size
-       of each shingle whose texts are not all of one group yet.
-    3. All candidates between groups that are still different are verified."""
+    2. Two such texts share some of their first shingles (``prefixes``). Each text is held against the next in size
+       of each of these, if that is not of its group yet.
+    3. All candidates between groups that are still different are verified: those that share SHARED of
+       their first shingles, or as many as they must have in common at all."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("node"), F.col(text_col).alias("text"))
     prints = Staged(docs.select("doc_id", "node"), "text-nodes").read()
-    marks = Staged(fingerprints(docs, id_col="node", width=width).groupBy(F.col("doc_id").alias("node")).agg(F.first("fp").alias("fp")), "text-fingerprints").read()
-    heads = Staged(marks.groupBy("fp").agg(F.min("node").alias("node")), "fingerprint-heads").read()
-    far = near_links(heads.select("fp"), limit).join(heads.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    made: list[Staged] = []
+
+    def temporary(rows: DataFrame | Staged, name: str = "") -> DataFrame:
+        """The rows, written down until the groups are known."""
+        made.append(rows if isinstance(rows, Staged) else Staged(rows, name))
+        return made[-1].read()
+
+    marks = temporary(fingerprints(docs, id_col="node", width=width).groupBy(F.col("doc_id").alias("node")).agg(F.first("fp").alias("fp")), "text-fingerprints")
+    heads = temporary(marks.groupBy("fp").agg(F.min("node").alias("node")), "fingerprint-heads")
+    far = near_links(heads.select("fp"), limit, temporary=temporary).join(heads.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     zero = F.lit(0)
-    alike = neighbours(marks.select(F.col("fp").alias("token"), "node", zero.alias("size"), zero.alias("pos"))).filter("n_node is not null and n_node <> node").select(F.least("node", "n_node").alias("a"), F.greatest("node", "n_node").alias("b"))
-    tried = Staged(far.unionByName(alike).distinct(), "simhash-links").read()
-    links = Staged(similar_links(tried, docs, width, similarity), "similar-links").read()
-    rows = neighbours(prefixes(docs, width, similarity).distinct())
-    rows = Staged(rows, "shared-shingles").read()
-    near = Staged(_pairs(_mixed(rows, links), similarity).join(tried, ["a", "b"], "left_anti"), "near-links").read()
-    links = Staged(links.unionByName(similar_links(near, docs, width, similarity)), "similar-links").read()
+    alike = neighbours(marks.select(F.col("fp").alias("token"), "node", zero.alias("size"), zero.alias("pos")), temporary).filter("n_node is not null and n_node <> node").select(F.least("node", "n_node").alias("a"), F.greatest("node", "n_node").alias("b"))
+    tried = temporary(far.unionByName(alike).distinct(), "simhash-links")
+    links = temporary(similar_links(tried, docs, width, similarity))
+    groups = temporary(components(links), "similar-groups")
+    first = Staged(prefixes(docs, width, similarity), "first-shingles")
+    rows = neighbours(first.read(), temporary)
+    first.drop()
+    ends = _pairs(rows, similarity)
+    for x in "ab":  # links within a group have nothing to add
+        ends = ends.join(groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group")), x, "left")
+    ends = ends.filter("coalesce(a_group, a) <> coalesce(b_group, b)").select("a", "b")
+    near = temporary(ends.join(tried, ["a", "b"], "left_anti"), "near-links")
+    links = links.unionByName(temporary(similar_links(near, docs, width, similarity)))
     # A shingle whose texts are all of one group has nothing left to verify.
-    rows = Staged(_mixed(rows, links), "mixed-shingles").read()
+    rows = temporary(_mixed(rows, temporary(components(links), "similar-groups")), "mixed-shingles")
     sides = [rows.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "pos", "component")]) for x in "ab"]
     pairs = sides[0].join(sides[1], "token").filter("a_node < b_node and a_component <> b_component").filter(_may_be_similar("a_", "b_", similarity))
-    rest = pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    shared = F.least(F.lit(SHARED), F.ceil(F.lit(similarity) * F.greatest("a_size", "b_size") - 1e-6))
+    rest = pairs.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b")).agg(F.count("*").alias("n"), F.first(shared).alias("least")).filter("n >= least").select("a", "b")
     for done in (tried, near):
         rest = rest.join(done, ["a", "b"], "left_anti")
-    more = similar_links(Staged(rest, "other-links").read(), docs, width, similarity)
-    return prints, Staged(components(links.unionByName(more)), "similar-groups").read()
+    more = temporary(similar_links(temporary(rest, "other-links"), docs, width, similarity))
+    groups = Staged(components(links.unionByName(more)), "similar-groups").read()
+    for table in made:
+        table.drop()
+    return prints, groups
 
 
-def _mixed(rows: DataFrame, links: DataFrame) -> DataFrame:
+def _mixed(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of tokens whose nodes are of several groups, with the ``component`` of each."""
-    groups = Staged(components(links), "similar-groups").read()
-    rows = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = rows.select("token", "node", "size", "pos").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = rows.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("token")
-    return rows.join(mixed, "token", "left_semi")
+    return rows.join(mixed, "token", "left_semi").distinct()
 
 
 def similar_groups(df: DataFrame, **how) -> DataFrame:
