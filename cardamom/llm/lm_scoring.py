@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from cardamom.llm._common import Staged
 from cardamom.llm.packing import chunks
 
-BLOCK_BYTES = 18 << 20
+BLOCK_BYTES = 12 << 20
 BLOCK = "block long, ids binary, held binary, ends binary, words binary, tokens binary"
 _BLOCK = pa.schema([("block", pa.int64()), *[(n, pa.binary()) for n in ("ids", "held", "ends", "words", "tokens")]])
 #: The end token's hash; a word with the same 64 bits would count as an end.
