@@ -162,3 +162,17 @@ def test_registered():
 
     names = entry.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_quality_learns_from_every_labelled_document(spark, tmp_path):
+    """More labels than the 20,000 documents that were once drawn."""
+    from unittest import mock
+
+    from cardamom.llm import quality_classifier as Q
+
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    docs.select("doc_id", F.lit(1).alias("quality")).write.parquet(f"{tmp_path}/labels.parquet")
+    held = []
+    with mock.patch.object(Q, "train", lambda trusted, text_col, f=Q.train: held.append(trusted.count()) or f(trusted, text_col)):
+        C.quality(spark, docs, str(tmp_path)).count()
+    assert held == [docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(5)) > 0).count()]
