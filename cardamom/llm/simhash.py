@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import Staged
+from cardamom.llm._common import Staged, sifted
 from cardamom.llm.components import components
 
 BITS = 64
@@ -292,10 +292,10 @@ def common_shingles(docs: DataFrame, width: int, sample: int = 5_000, most: int
             yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(sets) if sets else np.zeros(0, np.uint64)).view(np.int64))], names=["token"])
 
     drawn = docs.filter(F.pmod(F.xxhash64("node"), F.lit(docs.count() // sample + 1)) == 0).select("text")
-    held = drawn.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "token").limit(most).collect()
-    hashes = np.array([r["token"] for r in held], np.int64).view(np.uint64)
+    held = drawn.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "token").limit(most).toArrow()  # no row objects in the driver
+    hashes = held.column("token").to_numpy().view(np.uint64)
     by = np.argsort(hashes)
-    return hashes[by], np.array([r["n"] for r in held], np.int64)[by]
+    return hashes[by], held.column("n").to_numpy()[by]
 
 
 #: Shingles that two similar texts share among their first ones, if they have so many.
@@ -343,9 +343,11 @@ def similar_links(links: DataFrame, docs: DataFrame, width: int, similarity: flo
     """The links (a, b) whose texts share ``similarity`` of all their shingles (Jaccard).
 
     docs: node, text. Each link carries its two texts once."""
-    wanted = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.join(wanted, "node", "left_semi").select("node", "text").dropDuplicates(["node"])
-    held = Staged(texts, "similar-texts")
+    # the mark is a predicate, without which Spark makes no Bloom filter of a table
+    wanted = Staged(links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("mark", F.lit(1)), "wanted-nodes")
+    texts = docs.join(wanted.read().filter("mark = 1").select("node"), "node", "left_semi").select("node", "text").dropDuplicates(["node"])
+    held = sifted(texts, "similar-texts")
+    wanted.drop()
     texts = held.read()
     both = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -438,10 +440,12 @@ def neighbours(rows: DataFrame, temporary: Callable[[DataFrame, str], DataFrame]
 
 
 def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
-    """Distinct links (a < b) of neighbours that may be similar."""
+    """Distinct links (a < b) of neighbours that may be similar, and are neighbours in two shingles at least.
+
+    A single one is mostly a phrase that unlike texts share; whatever is left out here, all candidates are met later."""
     near = rows.filter("n_node is not null and n_node <> node").select(*[F.col(c).alias(f"a_{c}") for c in ("node", "size", "pos")], *[F.col(f"n_{c}").alias(f"b_{c}") for c in ("node", "size", "pos")])
     near = near.filter(_may_be_similar("a_", "b_", similarity))
-    return near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+    return near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).groupBy("a", "b").agg(F.count("*").alias("n")).filter("n > 1").select("a", "b")
 
 
 def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, limit: int = 4, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -450,8 +454,8 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
     Linked are texts with ``similarity`` of shingles in common. All such texts are found:
     1. SimHash: fingerprints within ``limit`` bits (the links of ``near_links``, and each text with the next one of
        its fingerprint) are candidates, verified on whole texts.
-    2. Two such texts share some of their first shingles (``prefixes``). Each text is held against the next in size
-       of each of these, if that is not of its group yet.
+    2. Two such texts share some of their first shingles (``prefixes``). Each text is held against those that are the next in size
+       of two of these, if they are not of its group yet.
     3. All candidates between groups that are still different are verified: those that share SHARED of
        their first shingles, or as many as they must have in common at all."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("node"), F.col(text_col).alias("text"))

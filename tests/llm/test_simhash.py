@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cardamom.llm import simhash as S
 from cardamom.llm.components import components
@@ -205,3 +206,28 @@ def test_recall_by_similarity(spark):
     for k, s in wanted.items():
         bands.setdefault(int(s * 20), []).append(got[2 * k + 1] == 2 * k)
     assert all(all(v) if band >= 16 else not any(v) for band, v in bands.items()) and {16, 17, 18} <= set(bands)
+
+
+def test_neighbours_in_one_shingle_alone_are_left_for_the_last_step(spark):
+    rows = [(t, 1, 10, 0, 2, 10, 0) for t in (7, 8)] + [(9, 1, 10, 1, 3, 10, 1)]
+    df = spark.createDataFrame(rows, "token long, node long, size int, pos int, n_node long, n_size int, n_pos int")
+    assert [tuple(r) for r in S._pairs(df, 0.8).collect()] == [(1, 2)]
+
+
+def test_few_of_many_texts_are_sifted_before_they_are_shuffled(spark, monkeypatch):
+    from cardamom.llm import _common
+
+    docs = spark.range(20_000).select(F.col("id").alias("node"), F.concat(F.lit("one two three four five six seven eight "), F.col("id").cast("string")).alias("text"))
+    docs = _common.Staged(docs, "texts").read()
+    links = spark.createDataFrame([(1, 2), (3, 19_999), (5, 5_000_000)], "a long, b long")
+    plans, write = [], _common.Staged
+    monkeypatch.setattr(_common, "Staged", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, name))
+    before, most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {tuple(r) for r in S.similar_links(links, docs, 5, 0.6).read().collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {(1, 2), (3, 19_999)}
+    assert len(plans) == 1 and "might_contain" in plans[0]
+    assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits", None) == most
