@@ -26,7 +26,7 @@ an empty result. Columns besides id and text do not matter, whatever their names
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -252,16 +252,17 @@ def _split(keys: np.ndarray, used: int, bits: int) -> np.ndarray:
     return np.searchsorted(own, np.arange((1 << bits) + 1))
 
 
-def answers(asked: DataFrame, sources: int, levels: list[int], used: int = 0) -> DataFrame:
+def answers(asked: DataFrame, sources: int, levels: list[int], used: int = 0, questions: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter) -> DataFrame:
     """(kind, part, src, sub, totals): for each question and each of 2**levels[0] parts of its range the totals of its keys.
 
     asked: sorted hashes and their counts, by kind, part of the hash range (of 2**used) and one of so many sources.
-    For kind 0 there are also statistics of each part (src -1)."""
+    For kind 0 there are also statistics of each part (src -1). Where ``questions`` makes them of the rows of ``asked``, the same
+    Python worker splits them: a second one for each task would take the memory of its libraries again."""
     bits, last = levels[0], len(levels) == 1
     fan = 1 << bits
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in questions(batches):
             for row in batch.to_pylist():
                 keys, n = _unpack_sorted(row["keys"]), _expand(row["n"], np.uint32)
                 cut = _split(keys, used, bits)
@@ -334,7 +335,7 @@ def lm_score(df: DataFrame, *, mu: float = 1000.0, mu3: float = 20.0, alpha: flo
                     n = np.bincount(at[trained & (at >= 0)], minlength=len(keys)).astype(np.uint32)
                     yield from _table(ASKED, [[kind], [0], [row["block"]], [_pack_sorted(keys)], [_squeeze(n)]]).to_batches()
 
-    got = Staged(answers(held.mapInArrow(ask, ASKED), n_blocks, levels), "lm-answers").read()
+    got = Staged(answers(held, n_blocks, levels, questions=ask), "lm-answers").read()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(4, np.int64)

@@ -84,3 +84,13 @@ def test_probabilities_of_a_state_sum_to_one(spark):
 
 def test_empty(spark):
     assert lm_score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_questions_are_made_and_split_by_one_worker(spark, monkeypatch):
+    """A stage of two Python steps holds two workers for each task."""
+    from cardamom.llm import lm_scoring as L
+
+    plans, write = [], L.Staged
+    monkeypatch.setattr(L, "Staged", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or write(df, name))
+    lm_score(spark.createDataFrame([(k, f"a b {k}") for k in range(50)], "doc_id long, text string"))
+    assert [p.count("MapInArrow") for name, p in plans if name == "lm-answers"] == [1]
