@@ -15,7 +15,8 @@ columns of the input do not matter.
 
 The near-duplicate stage (``similar_groups``, ``one_of_each``) asks for a Jaccard similarity, which
 no limit on fingerprints tells. It verifies the links of the fingerprints on whole texts,
-and finds the rest by joining texts by their rarest shingles."""
+and finds the rest by joining texts by their rarest shingles; texts of a shingle that many share
+are compared in blocks, so rows do not grow with the square of such a group."""
 
 from __future__ import annotations
 
@@ -339,15 +340,21 @@ def _may_be_similar(x: str, y: str, similarity: float) -> Column:
     return (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-6) & (rest >= similarity / (1 + similarity) * (n + m) - 1e-6)
 
 
+def _texts_of(wanted: DataFrame, docs: DataFrame, name: str) -> Staged:
+    """(node, text) of the wanted nodes, each once."""
+    # the mark is a predicate, without which Spark makes no Bloom filter of a table
+    nodes = Staged(wanted.select("node").distinct().withColumn("mark", F.lit(1)), "wanted-nodes")
+    texts = docs.join(nodes.read().filter("mark = 1").select("node"), "node", "left_semi").select("node", "text").dropDuplicates(["node"])
+    held = sifted(texts, name)
+    nodes.drop()
+    return held
+
+
 def similar_links(links: DataFrame, docs: DataFrame, width: int, similarity: float) -> Staged:
     """The links (a, b) whose texts share ``similarity`` of all their shingles (Jaccard).
 
     docs: node, text. Each link carries its two texts once."""
-    # the mark is a predicate, without which Spark makes no Bloom filter of a table
-    wanted = Staged(links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("mark", F.lit(1)), "wanted-nodes")
-    texts = docs.join(wanted.read().filter("mark = 1").select("node"), "node", "left_semi").select("node", "text").dropDuplicates(["node"])
-    held = sifted(texts, "similar-texts")
-    wanted.drop()
+    held = _texts_of(links.select(F.explode(F.array("a", "b")).alias("node")), docs, "similar-texts")
     texts = held.read()
     both = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -456,7 +463,9 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
        its fingerprint) are candidates, verified on whole texts.
     2. Two such texts share some of their first shingles (``prefixes``). Each text is held against those that are the next in size
        of two of these, if they are not of its group yet.
-    3. All candidates between groups that are still different are verified: those that share SHARED of
+    3. Texts of like size that a shingle shared by over FEW of them leads to, directly or by way of others, are a family;
+       all its texts are compared (``family_links``).
+    4. All other candidates between groups that are still different are verified: those that share SHARED of
        their first shingles, or as many as they must have in common at all."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("node"), F.col(text_col).alias("text"))
     prints = Staged(docs.select("doc_id", "node"), "text-nodes").read()
@@ -485,9 +494,16 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
     near = temporary(ends.join(tried, ["a", "b"], "left_anti"), "near-links")
     links = links.unionByName(temporary(similar_links(near, docs, width, similarity)))
     # A shingle whose texts are all of one group has nothing left to verify.
-    rows = temporary(_mixed(rows, temporary(components(links), "similar-groups")), "mixed-shingles")
-    sides = [rows.select("token", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "pos", "component")]) for x in "ab"]
-    pairs = sides[0].join(sides[1], "token").filter("a_node < b_node and a_component <> b_component").filter(_may_be_similar("a_", "b_", similarity))
+    groups = temporary(components(links), "similar-groups")
+    rows = temporary(_mixed(rows, groups), "mixed-shingles")
+    rows = _celled(rows, similarity)
+    many = temporary(_many(rows), "many-texts")
+    families = temporary(_families(rows, many), "families")
+    links = links.unionByName(temporary(family_links(families, docs, width, similarity, temporary), "family-links"))
+    # those of one family have been compared, so no shingle of many texts is left here
+    rows = rows.join(many, ["token", "cell"], "left_anti").join(families.select("node", "cell", "family"), ["node", "cell"], "left")
+    sides = [rows.select("token", "cell", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "pos", "component", "class", "family")]) for x in "ab"]
+    pairs = sides[0].join(sides[1], ["token", "cell"]).filter("a_node < b_node and a_component <> b_component and cell = least(a_class, b_class) and (a_family = b_family) is not true").filter(_may_be_similar("a_", "b_", similarity))
     shared = F.least(F.lit(SHARED), F.ceil(F.lit(similarity) * F.greatest("a_size", "b_size") - 1e-6))
     rest = pairs.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b")).agg(F.count("*").alias("n"), F.first(shared).alias("least")).filter("n >= least").select("a", "b")
     for done in (tried, near):
@@ -499,6 +515,123 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
     return prints, groups
 
 
+#: Texts of a shingle and cell up to which they are joined in pairs; those of larger ones are compared in blocks.
+FEW = 100
+#: Shingles of all texts in a block.
+BLOCK_SHINGLES = 1 << 20
+
+
+def _celled(rows: DataFrame, similarity: float) -> DataFrame:
+    """The rows with ``class``, by size, and each twice with a ``cell``: its class and the one below.
+
+    Two texts with the similarity are of one class or of neighbouring ones, so they meet in the cell of the lower."""
+    rows = rows.withColumn("class", F.floor(F.log("size") / F.lit(float(-np.log(similarity) + 1e-6))).cast("int"))
+    return rows.withColumn("cell", F.explode(F.array(F.col("class"), F.col("class") - 1)))
+
+
+def _many(rows: DataFrame) -> DataFrame:
+    """(token, cell, least): the shingles that over FEW texts of a cell have, of several groups, with the least node of each."""
+    sums = rows.groupBy("token", "cell").agg(F.min("node").alias("least"), F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+    return sums.filter((F.col("n") > FEW) & (F.col("x") != F.col("y"))).select("token", "cell", "least")
+
+
+def _families(rows: DataFrame, many: DataFrame) -> DataFrame:
+    """(node, cell, component, family): what shingles of many texts lead to, from one to another within a cell."""
+    own = rows.join(many, ["token", "cell"]).withColumn("a", F.xxhash64("least", "cell")).withColumn("b", F.xxhash64("node", "cell"))
+    found = components(own.select("a", "b")).select(F.col("node").alias("b"), F.col("component").alias("family"))
+    return own.select("node", "cell", "component", "b").distinct().join(found, "b").drop("b")
+
+
+def _parity(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """bits / 64 words for each set (one column), in which each hash turns over one bit.
+
+    Two sets differ in at least as many hashes as their words differ in bits."""
+    out = np.empty((bits // 64, len(sets)), np.uint64)
+    step = max(1, (1 << 21) // bits)
+    for a in range(0, len(sets), step):
+        own = sets[a : a + step]
+        at = (np.concatenate(own) & np.uint64(bits - 1)).astype(np.int64) + np.repeat(np.arange(len(own)) * bits, [len(x) for x in own])
+        odd = (np.bincount(at, minlength=len(own) * bits) & 1).astype(np.uint8)
+        out[:, a : a + step] = np.packbits(odd.reshape(len(own), bits), axis=1, bitorder="little").view(np.uint64).T
+    return out
+
+
+def _similar_forest(sets: list[np.ndarray], group: np.ndarray, side: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links (places) of sets with the similarity that join different groups, as a spanning forest of these.
+
+    All pairs are looked at (of unlike sides only, if there are two): ruled out by sizes and by the bits of ``_parity``, and verified
+    where these do not tell, unless they have come into one group before."""
+    by = np.argsort([len(x) for x in sets], kind="stable")
+    sets, side = [sets[k] for k in by], side[by]
+    size, two = np.array([len(x) for x in sets], np.int64), side.min() != side.max()
+    _, group = np.unique(group[by], return_inverse=True)
+    parent, links = list(range(int(group.max()) + 1)), []
+    limit = (1 - similarity) / (1 + similarity)
+
+    def root(x: int) -> int:
+        while (y := parent[x]) != x:
+            parent[x] = x = parent[y]
+        return x
+
+    lo = 0
+    while lo < len(sets):  # sets of up to twice the size at a time
+        hi = int(np.searchsorted(size, 2 * size[lo]))
+        end = int(np.searchsorted(size, size[hi - 1] / similarity + 1e-6, "right"))
+        words = _parity(sets[lo:end], min(1 << 15, max(256, 1 << int(8 * size[lo]).bit_length())))
+        rows = max(16, (1 << 20) // (end - lo))
+        for a in range(lo, hi, rows):
+            b = min(a + rows, hi)
+            top = int(np.searchsorted(size, size[b - 1] / similarity + 1e-6, "right"))
+            d = np.zeros((b - a, top - a), np.uint16)
+            for w in words:
+                d += np.bitwise_count(w[a - lo : b - lo, None] ^ w[None, a - lo : top - lo])
+            near = (d <= limit * (size[a:b, None] + size[None, a:top]) + 1e-6) & (size[a:b, None] >= similarity * size[None, a:top] - 1e-6) & (group[a:b, None] != group[None, a:top])
+            if two:
+                near &= side[a:b, None] != side[None, a:top]
+            i, j = np.nonzero(near)
+            i, j = i[j > i], j[j > i]
+            close = np.argsort(d[i, j], kind="stable")
+            for x, y in zip((i[close] + a).tolist(), (j[close] + a).tolist(), strict=True):
+                g, h = root(group[x]), root(group[y])
+                if g == h:
+                    continue
+                same = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if same >= similarity * (len(sets[x]) + len(sets[y]) - same):
+                    parent[max(g, h)] = min(g, h)
+                    links.append((int(by[x]), int(by[y])))
+            if len(i):
+                group = np.array([root(x) for x in range(len(parent))])[group]
+        lo = hi
+    return links
+
+
+def family_links(families: DataFrame, docs: DataFrame, width: int, similarity: float, temporary: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """(a, b): links with the similarity within families that hold their different groups together.
+
+    A family is compared in pairs of blocks, each its own task's work: what is shuffled is a text's hashes, once for each
+    block, and what comes out is a forest of each pair of blocks, never the pairs of texts."""
+    texts = _texts_of(families, docs, "family-texts")
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [_set_hashes(x.as_py(), width) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "size", "hashes"])
+
+    sets = temporary(texts.read().mapInArrow(hashes, "node long, size long, hashes binary"), "family-sets")
+    texts.drop()
+    members = families.join(sets, "node")
+    members = members.join(members.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("g")), "family")
+    members = members.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("g")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("g") - 1)))
+    cells = members.select("family", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "component", "hashes")
+
+    def run(cell: pa.Table) -> pa.Table:
+        node, component, mine = (cell.column(c).to_numpy() for c in ("node", "component", "mine"))
+        links = _similar_forest([np.frombuffer(x.as_buffer(), np.uint64) for x in cell.column("hashes")], component, mine, similarity)
+        return pa.table([pa.array([int(node[x[k]]) for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return cells.groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def _mixed(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of tokens whose nodes are of several groups, with the ``component`` of each."""
     rows = rows.select("token", "node", "size", "pos").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -231,3 +231,64 @@ def test_few_of_many_texts_are_sifted_before_they_are_shuffled(spark, monkeypatc
     assert got == {(1, 2), (3, 19_999)}
     assert len(plans) == 1 and "might_contain" in plans[0]
     assert spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits", None) == most
+
+
+def variants(rng, count, changes):
+    """Texts that share shingles with many others and are mostly unlike each other, and near copies of some."""
+    words = [f"w{k}" for k in range(600)]
+    hub, rows = rng.choices(words, k=120), []
+    for v in range(count):
+        t = list(hub)
+        for k in range(changes):
+            t[(v * 7 + 17 * k) % len(t)] = f"new{rng.random()}"
+        rows.append(t)
+        if v % 5 == 0:
+            rows.append([*t, "end"])
+    return [(k, " ".join(t)) for k, t in enumerate(rows)]
+
+
+@pytest.mark.parametrize("block,few", [(1 << 20, 50), (3_000, 8)])
+def test_rows_do_not_grow_with_the_square_of_a_group(spark, monkeypatch, block, few):
+    """Variants of one hub: all pairs are compared, but only rows in proportion to the texts are made."""
+    made, write = [], S.Staged
+
+    class Counted(write):
+        def __init__(self, df, name):
+            super().__init__(df, name)
+            if name in ("near-links", "other-links", "similar-links", "family-links"):
+                made.append(self.read().count())
+
+    monkeypatch.setattr(S, "Staged", Counted)
+    monkeypatch.setattr(S, "BLOCK_SHINGLES", block, raising=False)
+    monkeypatch.setattr(S, "FEW", few, raising=False)
+    rows = variants(random.Random(2), 150, 4)
+    got = dict(map(tuple, S.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == jaccard_groups(rows) and 1 < len(set(got.values())) < len(rows)
+    assert max(made) < 10 * len(rows)
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_forest_of_sets_matches_all_pairs(two):
+    rng = np.random.default_rng(6)
+    sets = []
+    for n in [1, 1, 2, 5, 9, 30, 31, 60, 100, 127, 128, 400, 3000, 9000]:
+        base = rng.integers(0, 2**63, n, np.uint64)
+        for changed in (0, 0.04, 0.1, 0.12, 0.3):
+            x = base.copy()
+            x[: int(n * changed)] = rng.integers(0, 2**63, int(n * changed), np.uint64)
+            sets.append(np.unique(x))
+    side = rng.integers(0, 2, len(sets)) if two else np.zeros(len(sets), int)
+    start = np.arange(len(sets))
+    start[1] = 0
+
+    def joined(links):
+        parent = start.tolist()
+        for _ in parent:
+            for x, y in links:
+                parent[x] = parent[y] = min(parent[x], parent[y])
+            parent[1] = parent[0] = min(parent[:2])
+        return parent
+
+    want = [(i, j) for i in range(len(sets)) for j in range(i) if (not two or side[i] != side[j]) and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+    got = S._similar_forest(sets, start, side, 0.8)
+    assert joined(got) == joined(want) and {tuple(sorted(x)) for x in got} <= {tuple(sorted(x)) for x in want} and 0 < len(got) < len(sets)
