@@ -283,16 +283,21 @@ def _set_hashes(text: str | None, width: int) -> np.ndarray:
     return np.unique(np.array([h(s) for s in _shingles(text, width)], np.uint64))
 
 
+#: Texts of which one is drawn at least, however many there are: a shingle of over FEW texts is to be known as common.
+EVERY = 16
+
+
 def common_shingles(docs: DataFrame, width: int, sample: int = 5_000, most: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of the commonest shingles of a sample, by hash. They only set the order
-    in which shingles are taken: any order gives the same links, this one the fewest candidates."""
+    """(hashes, counts) of the commonest shingles of a sample (``sample`` texts or one in EVERY, if these are more), by hash. They only
+    set the order in which shingles are taken: any order gives the same links, this one the fewest candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [_set_hashes(x.as_py(), width) for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(sets) if sets else np.zeros(0, np.uint64)).view(np.int64))], names=["token"])
 
-    drawn = docs.filter(F.pmod(F.xxhash64("node"), F.lit(docs.count() // sample + 1)) == 0).select("text")
+    every = min(docs.count() // sample + 1, EVERY)
+    drawn = docs.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("text")
     held = drawn.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "token").limit(most).toArrow()  # no row objects in the driver
     hashes = held.column("token").to_numpy().view(np.uint64)
     by = np.argsort(hashes)

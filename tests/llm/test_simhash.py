@@ -292,3 +292,12 @@ def test_forest_of_sets_matches_all_pairs(two):
     want = [(i, j) for i in range(len(sets)) for j in range(i) if (not two or side[i] != side[j]) and len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
     got = S._similar_forest(sets, start, side, 0.8)
     assert joined(got) == joined(want) and {tuple(sorted(x)) for x in got} <= {tuple(sorted(x)) for x in want} and 0 < len(got) < len(sets)
+
+
+def test_shingles_of_many_texts_are_known_as_common(spark):
+    """Passages that 125 of 5,000 texts have: the sample grows with the input, so they are known to be common."""
+    passage = lambda k: " ".join(f"p{k}w{j}" for j in range(12))
+    rows = [(i, passage(i % 40) + " " + " ".join(f"u{i}v{j}" for j in range(20))) for i in range(5_000)]
+    hashes, counts = S.common_shingles(spark.createDataFrame(rows, "node long, text string"), 5, sample=50)
+    of = np.unique(np.concatenate([S._set_hashes(passage(k), 5) for k in range(40)]))
+    assert np.isin(of, hashes).mean() > 0.9 and len(counts) == len(hashes)
