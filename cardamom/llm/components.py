@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 First each task joins what its own edges connect (union-find over a bounded number of nodes at a time) and
-hands on one edge to the least node of each; that leaves few rounds, and none where all edges were in one such piece. All further
+hands on one edge to the least node of each; that leaves few rounds, and none where all edges were in one such piece. Where so few edges are
+left that one task can hold their nodes, it joins them in the same way. All further
 steps are joins and aggregations; hot nodes are pre-aggregated and spread, and nothing is
 collected but a count. Each round is written to the shared folder, so a lost
 executor costs one round."""
@@ -41,6 +42,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 #: Nodes that a task joins at a time.
 HELD = 1_000_000
+#: Edges that one task joins when others have joined theirs.
+LAST = 125_000
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
@@ -94,6 +97,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     ends = held.read().agg(F.min("piece").alias("x"), F.max("piece").alias("y")).first()
     if ends["x"] == ends["y"]:  # one piece, or no edge at all: each node has its least one
         return _listed(held.read())
+    if held.read().count() <= LAST:
+        held, pieces = Staged(_contracted(held.read().select("a", "b").coalesce(1)), "edges"), held
+        pieces.drop()
+        return _listed(held.read())
     held, pieces = Staged(held.read().select("a", "b").distinct(), "edges"), held
     pieces.drop()
     state = _state(held.read())

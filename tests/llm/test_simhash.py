@@ -301,3 +301,18 @@ def test_shingles_of_many_texts_are_known_as_common(spark):
     hashes, counts = S.common_shingles(spark.createDataFrame(rows, "node long, text string"), 5, sample=50)
     of = np.unique(np.concatenate([S._set_hashes(passage(k), 5) for k in range(40)]))
     assert np.isin(of, hashes).mean() > 0.9 and len(counts) == len(hashes)
+
+
+def test_few_edges_in_many_pieces_are_joined_in_one_task(spark):
+    from unittest import mock
+
+    from cardamom.llm import components as C
+
+    edges = [(k, k + 7) for k in range(700)] + [(5_000, 3), (5_001, 5_000)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(8, "a", "b")
+    want = {k: k % 7 for k in range(707)} | {5_000: 3, 5_001: 3}
+    for last, tables in ((C.LAST, range(2, 3)), (0, range(3, 60))):
+        made = []
+        with mock.patch.object(C, "LAST", last), mock.patch.object(C, "Staged", lambda *a, f=C.Staged: made.append(a) or f(*a)), mock.patch.object(C, "_contracted", lambda e, f=C._contracted: f(e.repartition(8, "a", "b") if not made else e)):
+            assert {r["node"]: r["component"] for r in C.components(df).collect()} == want
+        assert len(made) in tables
