@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import Staged
+from cardamom.llm._common import Staged, at_most
 
 
 #: Neighbours of a node that meet its least one in one task; those of a hub are spread over several.
@@ -88,12 +88,12 @@ def _listed(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
-    """(node, component): the least node that each node of an edge can reach.
+def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60, tasks: int | None = None) -> DataFrame:
+    """(node, component): the least node that each node of an edge can reach. Tables are written by ``tasks`` tasks at most.
 
     Nodes of no edge are not listed. Null ends are dropped; loops and repeated edges do no harm."""
     once = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).cast("long").alias("a"), F.least(a, b).cast("long").alias("b")).distinct()
-    held = Staged(_contracted(once), "edges")
+    held = Staged(_contracted(at_most(once, tasks)), "edges")
     ends = held.read().agg(F.min("piece").alias("x"), F.max("piece").alias("y")).first()
     if ends["x"] == ends["y"]:  # one piece, or no edge at all: each node has its least one
         return _listed(held.read())
@@ -101,11 +101,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         held, pieces = Staged(_contracted(held.read().select("a", "b").coalesce(1)), "edges"), held
         pieces.drop()
         return _listed(held.read())
-    held, pieces = Staged(held.read().select("a", "b").distinct(), "edges"), held
+    held, pieces = Staged(at_most(held.read().select("a", "b").distinct(), tasks), "edges"), held
     pieces.drop()
     state = _state(held.read())
     for _ in range(rounds):
-        new = Staged(_star(_star(held.read(), True), False), "edges")
+        new = Staged(at_most(_star(_star(held.read(), True), False), tasks), "edges")
         held.drop()
         held, before, state = new, state, _state(new.read())
         if state == before:

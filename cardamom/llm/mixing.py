@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import Staged
+from cardamom.llm._common import Staged, at_most, tasks_for
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SALTS = 256
@@ -81,13 +81,13 @@ def solve(cells: DataFrame, target: dict[str, float], cap: float, steps: int = 2
 
 def mix(df: DataFrame, *, weights=WEIGHTS, cap: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: doc_id, size, source_size, target (of its source), copies, taken, and ``carry``."""
-    spark = df.sparkSession
+    spark, tasks = df.sparkSession, tasks_for(df)
     src = F.col(source_col).cast("string")
     key = F.when(src.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), src))
     draw = F.xxhash64(F.col(id_col), F.lit(7))
     base = df.select(F.col(id_col).alias("doc_id"), key.alias("key"), size_of(F.col(text_col)).alias("size"), draw.alias("draw"), F.pmod(draw, F.lit(SALTS)).cast("int").alias("salt"), *[F.col(c).alias(f"c_{c}") for c in carry])
-    subs = Staged(base.groupBy("key", "size", "salt").agg(F.count("*").alias("n")), "mix-subs").read()
-    cells = Staged(subs.groupBy("key", "size").agg(F.sum("n").alias("n")), "mix-cells").read()
+    subs = Staged(at_most(base.groupBy("key", "size", "salt").agg(F.count("*").alias("n")), tasks), "mix-subs").read()
+    cells = Staged(at_most(subs.groupBy("key", "size").agg(F.sum("n").alias("n")), tasks), "mix-cells").read()
     per = cells.groupBy("key").agg(F.sum(F.col("n") * F.col("size")).alias("words"), F.sum("n").alias("docs")).collect()  # one row a source
     words = {r["key"]: r["words"] for r in per}
     by_name = {(None if k == "-" else k[1:]): k for k in words}
@@ -106,7 +106,7 @@ def mix(df: DataFrame, *, weights=WEIGHTS, cap: int = 3, id_col: str = "doc_id",
     end = F.sum("mass").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rated = rated.withColumn("end", end).withColumn("total", (F.floor(F.round(F.col("end"), 6) + 0.5) - F.floor(F.round(F.col("end") - F.col("mass"), 6) + 0.5)).cast("long"))
     rated = rated.withColumn("total", F.greatest(F.lit(0), F.least(F.col("total"), cap * F.col("n"))))
-    cells = Staged(rated.select("key", "size", "n", "total", "source_size", "target"), "mix-totals").read()
+    cells = Staged(at_most(rated.select("key", "size", "n", "total", "source_size", "target"), tasks), "mix-totals").read()
 
     # What a source lacks or has too much is met by whole copies, the largest that fits each time.
     change: dict[tuple[str, int], int] = {}

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import Staged, free
+from cardamom.llm._common import Staged, at_most, free, tasks_for
 from cardamom.llm.packing import chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -305,14 +305,15 @@ def trusted_patterns(df: DataFrame, found: DataFrame, text_col: str, *, support:
     """(pattern, confidence) of the patterns that scoring over the graph trusts, seeds and found values alike as evidence.
 
     Scores only rise, so rounds end: when none adds a pattern and all confidences together move by less than 1e-6."""
+    tasks = tasks_for(df)
     each = found.select("row_key", F.explode("mentions").alias("m")).select("m.*")
     firm = (F.length("value") >= LEAST_CHARS) & (F.length(F.regexp_replace("value", "[^0-9]", "")) >= LEAST_DIGITS)
-    graph = Staged(each.filter(F.col("seed") | firm).groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pii-graph").read()
+    graph = Staged(at_most(each.filter(F.col("seed") | firm).groupBy("pattern", "value").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), tasks), "pii-graph").read()
     # A pattern of fewer values is never trusted; all others are counted in one pass, as any round may reach them.
     wide = graph.groupBy("pattern").agg(F.count("*").alias("kinds")).filter(F.col("kinds") >= support).select("pattern")
-    totals = Staged(_word_counts(df, text_col, wide).join(wide, "pattern", "left_semi"), "pii-totals").read()
+    totals = Staged(at_most(_word_counts(df, text_col, wide).join(wide, "pattern", "left_semi"), tasks), "pii-totals").read()
     seeds = graph.groupBy("value").agg(F.max(F.col("seed").cast("double")).alias("seed"))
-    edges = Staged(graph.drop("seed").join(totals, "pattern").join(seeds, "value"), "pii-edges").read()
+    edges = Staged(at_most(graph.drop("seed").join(totals, "pattern").join(seeds, "value"), tasks), "pii-edges").read()
     good, state = None, None
     while True:
         if good is None:
@@ -322,7 +323,7 @@ def trusted_patterns(df: DataFrame, found: DataFrame, text_col: str, *, support:
             scored = edges.join(lifted, "value", "left").withColumn("score", F.greatest("seed", F.coalesce("lift", F.lit(0.0))))
         weight = F.sum(F.col("n") * F.col("score")) / F.greatest(F.max("total"), F.sum("n"))
         new = scored.groupBy("pattern").agg(weight.alias("confidence"), F.sum((F.col("score") >= confidence).cast("long")).alias("held"))
-        good = Staged(new.filter((F.col("held") >= support) & (F.col("confidence") >= confidence)).select("pattern", "confidence"), "pii-trusted")
+        good = Staged(at_most(new.filter((F.col("held") >= support) & (F.col("confidence") >= confidence)).select("pattern", "confidence"), tasks), "pii-trusted")
         row = good.read().agg(F.count("*").alias("n"), F.sum("confidence").alias("s")).first()
         now = (row["n"], row["s"] or 0.0)
         if not now[0] or (state and now[0] == state[0] and now[1] - state[1] < 1e-6):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import Staged, sifted
+from cardamom.llm._common import Staged, at_most, sifted, tasks_for
 from cardamom.llm.components import components
 
 BITS = 64
@@ -345,21 +345,21 @@ def _may_be_similar(x: str, y: str, similarity: float) -> Column:
     return (F.least(n, m) >= similarity * F.greatest(n, m) - 1e-6) & (rest >= similarity / (1 + similarity) * (n + m) - 1e-6)
 
 
-def _texts_of(wanted: DataFrame, docs: DataFrame, name: str) -> Staged:
+def _texts_of(wanted: DataFrame, docs: DataFrame, name: str, tasks: int | None = None) -> Staged:
     """(node, text) of the wanted nodes, each once."""
     # the mark is a predicate, without which Spark makes no Bloom filter of a table
-    nodes = Staged(wanted.select("node").distinct().withColumn("mark", F.lit(1)), "wanted-nodes")
+    nodes = Staged(at_most(wanted.select("node").distinct().withColumn("mark", F.lit(1)), tasks), "wanted-nodes")
     texts = docs.join(nodes.read().filter("mark = 1").select("node"), "node", "left_semi").select("node", "text").dropDuplicates(["node"])
-    held = sifted(texts, name)
+    held = sifted(texts, name, tasks)
     nodes.drop()
     return held
 
 
-def similar_links(links: DataFrame, docs: DataFrame, width: int, similarity: float) -> Staged:
+def similar_links(links: DataFrame, docs: DataFrame, width: int, similarity: float, tasks: int | None = None) -> Staged:
     """The links (a, b) whose texts share ``similarity`` of all their shingles (Jaccard).
 
     docs: node, text. Each link carries its two texts once."""
-    held = _texts_of(links.select(F.explode(F.array("a", "b")).alias("node")), docs, "similar-texts")
+    held = _texts_of(links.select(F.explode(F.array("a", "b")).alias("node")), docs, "similar-texts", tasks)
     texts = held.read()
     both = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -375,7 +375,7 @@ def similar_links(links: DataFrame, docs: DataFrame, width: int, similarity: flo
                 keep.append(same >= similarity * (len(s) + len(t) - same))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
-    out = Staged(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "similar-links")
+    out = Staged(at_most(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), tasks), "similar-links")
     held.drop()
     return out
 
@@ -474,11 +474,12 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
        their first shingles, or as many as they must have in common at all."""
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("node"), F.col(text_col).alias("text"))
     prints = Staged(docs.select("doc_id", "node"), "text-nodes").read()
+    tasks = tasks_for(df)  # but for the shingles, no table is larger than the texts
     made: list[Staged] = []
 
     def temporary(rows: DataFrame | Staged, name: str = "") -> DataFrame:
         """The rows, written down until the groups are known."""
-        made.append(rows if isinstance(rows, Staged) else Staged(rows, name))
+        made.append(rows if isinstance(rows, Staged) else Staged(at_most(rows, tasks), name))
         return made[-1].read()
 
     marks = temporary(fingerprints(docs, id_col="node", width=width).groupBy(F.col("doc_id").alias("node")).agg(F.first("fp").alias("fp")), "text-fingerprints")
@@ -487,8 +488,8 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
     zero = F.lit(0)
     alike = neighbours(marks.select(F.col("fp").alias("token"), "node", zero.alias("size"), zero.alias("pos")), temporary).filter("n_node is not null and n_node <> node").select(F.least("node", "n_node").alias("a"), F.greatest("node", "n_node").alias("b"))
     tried = temporary(far.unionByName(alike).distinct(), "simhash-links")
-    links = temporary(similar_links(tried, docs, width, similarity))
-    groups = temporary(components(links), "similar-groups")
+    links = temporary(similar_links(tried, docs, width, similarity, tasks))
+    groups = temporary(components(links, tasks=tasks), "similar-groups")
     first = Staged(prefixes(docs, width, similarity), "first-shingles")
     rows = neighbours(first.read(), temporary)
     first.drop()
@@ -497,14 +498,14 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
         ends = ends.join(groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group")), x, "left")
     ends = ends.filter("coalesce(a_group, a) <> coalesce(b_group, b)").select("a", "b")
     near = temporary(ends.join(tried, ["a", "b"], "left_anti"), "near-links")
-    links = links.unionByName(temporary(similar_links(near, docs, width, similarity)))
+    links = links.unionByName(temporary(similar_links(near, docs, width, similarity, tasks)))
     # A shingle whose texts are all of one group has nothing left to verify.
-    groups = temporary(components(links), "similar-groups")
+    groups = temporary(components(links, tasks=tasks), "similar-groups")
     rows = temporary(_mixed(rows, groups), "mixed-shingles")
     rows = _celled(rows, similarity)
     many = temporary(_many(rows), "many-texts")
-    families = temporary(_families(rows, many), "families")
-    links = links.unionByName(temporary(family_links(families, docs, width, similarity, temporary), "family-links"))
+    families = temporary(_families(rows, many, tasks), "families")
+    links = links.unionByName(temporary(family_links(families, docs, width, similarity, temporary, tasks), "family-links"))
     # those of one family have been compared, so no shingle of many texts is left here
     rows = rows.join(many, ["token", "cell"], "left_anti").join(families.select("node", "cell", "family"), ["node", "cell"], "left")
     sides = [rows.select("token", "cell", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "pos", "component", "class", "family")]) for x in "ab"]
@@ -513,8 +514,8 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
     rest = pairs.groupBy(F.col("a_node").alias("a"), F.col("b_node").alias("b")).agg(F.count("*").alias("n"), F.first(shared).alias("least")).filter("n >= least").select("a", "b")
     for done in (tried, near):
         rest = rest.join(done, ["a", "b"], "left_anti")
-    more = temporary(similar_links(temporary(rest, "other-links"), docs, width, similarity))
-    groups = Staged(components(links.unionByName(more)), "similar-groups").read()
+    more = temporary(similar_links(temporary(rest, "other-links"), docs, width, similarity, tasks))
+    groups = Staged(at_most(components(links.unionByName(more), tasks=tasks), tasks), "similar-groups").read()
     for table in made:
         table.drop()
     return prints, groups
@@ -540,10 +541,10 @@ def _many(rows: DataFrame) -> DataFrame:
     return sums.filter((F.col("n") > FEW) & (F.col("x") != F.col("y"))).select("token", "cell", "least")
 
 
-def _families(rows: DataFrame, many: DataFrame) -> DataFrame:
+def _families(rows: DataFrame, many: DataFrame, tasks: int | None = None) -> DataFrame:
     """(node, cell, component, family): what shingles of many texts lead to, from one to another within a cell."""
     own = rows.join(many, ["token", "cell"]).withColumn("a", F.xxhash64("least", "cell")).withColumn("b", F.xxhash64("node", "cell"))
-    found = components(own.select("a", "b")).select(F.col("node").alias("b"), F.col("component").alias("family"))
+    found = components(own.select("a", "b"), tasks=tasks).select(F.col("node").alias("b"), F.col("component").alias("family"))
     return own.select("node", "cell", "component", "b").distinct().join(found, "b").drop("b")
 
 
@@ -610,12 +611,12 @@ def _similar_forest(sets: list[np.ndarray], group: np.ndarray, side: np.ndarray,
     return links
 
 
-def family_links(families: DataFrame, docs: DataFrame, width: int, similarity: float, temporary: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def family_links(families: DataFrame, docs: DataFrame, width: int, similarity: float, temporary: Callable[[DataFrame, str], DataFrame], tasks: int | None = None) -> DataFrame:
     """(a, b): links with the similarity within families that hold their different groups together.
 
     A family is compared in pairs of blocks, each its own task's work: what is shuffled is a text's hashes, once for each
     block, and what comes out is a forest of each pair of blocks, never the pairs of texts."""
-    texts = _texts_of(families, docs, "family-texts")
+    texts = _texts_of(families, docs, "family-texts", tasks)
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardamom.llm._common import Staged, documents, free, ship
+from cardamom.llm._common import Staged, documents, free, ship, tasks_for
 from cardamom.llm.mixing import RESERVED, mix
 from cardamom.llm.packing import pack
 from cardamom.llm.pii import redact
@@ -38,13 +38,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group whose texts share 0.8 of their five-word shingles."""
     ship(spark)
-    return one_of_each(docs)
+    return one_of_each(docs).coalesce(tasks_for(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by the name of its kind; n_chars is counted anew."""
     ship(spark)
-    out = redact(docs)
+    out = redact(docs).coalesce(tasks_for(docs))
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
