@@ -482,12 +482,19 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
         made.append(rows if isinstance(rows, Staged) else Staged(at_most(rows, tasks), name))
         return made[-1].read()
 
+    def forget(*names: str) -> None:
+        """Delete tables that nothing reads any more."""
+        for table in [x for x in made if x.name in names]:
+            made.remove(table)
+            table.drop()
+
     marks = temporary(fingerprints(docs, id_col="node", width=width).groupBy(F.col("doc_id").alias("node")).agg(F.first("fp").alias("fp")), "text-fingerprints")
     heads = temporary(marks.groupBy("fp").agg(F.min("node").alias("node")), "fingerprint-heads")
     far = near_links(heads.select("fp"), limit, temporary=temporary).join(heads.select(F.col("fp").alias("a"), F.col("node").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("node").alias("y")), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     zero = F.lit(0)
     alike = neighbours(marks.select(F.col("fp").alias("token"), "node", zero.alias("size"), zero.alias("pos")), temporary).filter("n_node is not null and n_node <> node").select(F.least("node", "n_node").alias("a"), F.greatest("node", "n_node").alias("b"))
     tried = temporary(far.unionByName(alike).distinct(), "simhash-links")
+    forget("signatures", "neighbours", "text-fingerprints", "fingerprint-heads")
     links = temporary(similar_links(tried, docs, width, similarity, tasks))
     groups = temporary(components(links, tasks=tasks), "similar-groups")
     first = Staged(prefixes(docs, width, similarity), "first-shingles")
@@ -502,6 +509,7 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
     # A shingle whose texts are all of one group has nothing left to verify.
     groups = temporary(components(links, tasks=tasks), "similar-groups")
     rows = temporary(_mixed(rows, groups), "mixed-shingles")
+    forget("neighbours")
     rows = _celled(rows, similarity)
     many = temporary(_many(rows), "many-texts")
     families = temporary(_families(rows, many, tasks), "families")

@@ -1,8 +1,27 @@
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from cardamom.llm import _common as C
+from cardamom.llm import simhash as S
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {x for x in manager.getAllFiles().mkString("\n").split("\n") if os.path.basename(x).startswith("shuffle_")}
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    before, key = shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = spark.conf.get(key)
+    held = C.Staged(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sums")
+    end = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+    assert held.read().agg(F.sum("count")).first()[0] == 1000
+    assert spark.conf.get(key) == own
 
 
 def test_a_table_is_its_parts_alone_and_of_few_files(spark):
@@ -21,3 +40,16 @@ def test_tasks_follow_the_size_of_the_rows(spark, tmp_path, monkeypatch):
     with C.settings(spark, {"spark.sql.files.maxPartitionBytes": "1k"}):
         assert C.tasks_for(rows) == max(4 * cores, -(-size // 1024)) > 4 * cores
     assert C.tasks_for(spark.createDataFrame([(1,)], "a long").join(rows)) > 10**9  # of unknown size: as many as there are
+
+
+def test_near_duplicates_deletes_tables_that_it_has_read(spark, monkeypatch):
+    """Large tables of shingles do not wait for the end."""
+    log = []
+    init, drop = C.Staged.__init__, C.Staged.drop
+    monkeypatch.setattr(C.Staged, "__init__", lambda self, df, name: (init(self, df, name), log.append(f"+{name}"))[0])
+    monkeypatch.setattr(C.Staged, "drop", lambda self: (drop(self), log.append(f"-{os.path.basename(self.path).rpartition('-')[0]}"))[0])
+    rows = [(k, " ".join(f"w{k % 5}x{j}" if j % 20 else f"v{k}" for j in range(60))) for k in range(40)]
+    groups = S.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert groups.count() == 40
+    assert log.index("-signatures") < log.index("+similar-links")
+    assert len(log) - 1 - log[::-1].index("-neighbours") < log.index("+many-texts")
