@@ -54,7 +54,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = tuple(c for c in docs.columns if c != "doc_id")
     mixed = mix(docs, carry=others).filter("copies > 0")
     mixed = mixed.withColumn(free(mixed, "_copy"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return mixed.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"c_{c}" if c in RESERVED else c).alias(c) for c in docs.columns])
+    return mixed.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"c_{c}" if c in RESERVED else c).alias(c) for c in docs.columns]).coalesce(tasks_for(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

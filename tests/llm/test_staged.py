@@ -53,3 +53,17 @@ def test_near_duplicates_deletes_tables_that_it_has_read(spark, monkeypatch):
     assert groups.count() == 40
     assert log.index("-signatures") < log.index("+similar-links")
     assert len(log) - 1 - log[::-1].index("-neighbours") < log.index("+many-texts")
+
+
+def test_stages_give_few_pieces(spark, tmp_path):
+    """Not one for each shuffle partition: each piece is a file, and so a started command."""
+    import corpus_pipeline
+
+    rows = [(k, f"a few words of text {k}", "web", "en") for k in range(2000)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    with C.settings(spark, {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        corpus_pipeline.mixing(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / "mixed"))
+    names = [x for x in os.listdir(tmp_path / "mixed") if x.startswith("part-")]
+    assert 0 < len(names) <= C.tasks_for(docs) < 61
+    assert spark.read.parquet(str(tmp_path / "mixed")).count() == 2000
