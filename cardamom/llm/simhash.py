@@ -289,7 +289,7 @@ EVERY = 16
 
 def common_shingles(docs: DataFrame, width: int, sample: int = 5_000, most: int = 100_000) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, counts) of the commonest shingles of a sample (``sample`` texts or one in EVERY, if these are more), by hash. They only
-    set the order in which shingles are taken: any order gives the same links, this one the fewest candidates."""
+    set the order in which shingles are taken: any order gives the same links, this one the fewest candidates. Copies of a text count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,8 +297,11 @@ def common_shingles(docs: DataFrame, width: int, sample: int = 5_000, most: int
             yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(sets) if sets else np.zeros(0, np.uint64)).view(np.int64))], names=["token"])
 
     every = min(docs.count() // sample + 1, EVERY)
-    drawn = docs.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("text")
-    held = drawn.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "token").limit(most).toArrow()  # no row objects in the driver
+    drawn = docs.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).dropDuplicates(["node"]).select("text")
+    sums = drawn.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).filter("n > 2")
+    table = Staged(sums.orderBy(F.desc("n"), "token").limit(most), "common-shingles")  # its shuffle files go
+    held = table.read().toArrow()  # no row objects in the driver
+    table.drop()
     hashes = held.column("token").to_numpy().view(np.uint64)
     by = np.argsort(hashes)
     return hashes[by], held.column("n").to_numpy()[by]
@@ -402,11 +405,17 @@ def simhash_groups(df: DataFrame, *, limit: int = 4, width: int = 4, id_col: str
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def neighbours(rows: DataFrame, temporary: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+#: Rows of first shingles above which they are put in order in SLICES parts, one after the other: their shuffle is the largest of all.
+SLICED = 1 << 24
+SLICES = 4
+
+
+def neighbours(rows: DataFrame, temporary: Callable[[DataFrame, str], DataFrame], slices: int = 1) -> DataFrame:
     """The rows (token, node, size, pos) whose token others have too, with n_node, n_size, n_pos: the next of the token by size.
 
     Rows are dealt out by ranges, so the many of a common token are several tasks' work; the first and
-    last row of each range (all are kept) are put in order afterwards, two for each range."""
+    last row of each range (all are kept) are put in order afterwards, two for each range. With ``slices`` the tokens are taken in so
+    many parts, each shuffled when the files of the one before are gone."""
     cols = ["token", "node", "size", "pos"]
     names = [*cols, "n_node", "n_size", "n_pos", "edge"]
 
@@ -441,8 +450,12 @@ def neighbours(rows: DataFrame, temporary: Callable[[DataFrame, str], DataFrame]
             yield give(held, np.ones(1, bool), [pa.nulls(1, x) for x in (pa.int64(), pa.int32(), pa.int32())], True)
 
     schema = "token long, node long, size int, pos int, n_node long, n_size int, n_pos int, edge boolean"
-    ranges = rows.repartitionByRange("token", "size", "node").sortWithinPartitions("token", "size", "node")
-    found = temporary(ranges.mapInArrow(run, schema), "neighbours")
+    found = None
+    for k in range(slices):
+        own = rows.filter(F.pmod("token", F.lit(slices)) == k) if slices > 1 else rows
+        ranges = own.repartitionByRange("token", "size", "node").sortWithinPartitions("token", "size", "node")
+        part = temporary(ranges.mapInArrow(run, schema), "neighbours")
+        found = part if found is None else found.unionByName(part)
     order = Window.orderBy("token", "size", "node")
     ahead = F.lead(F.struct(*cols)).over(order)
     edges = found.filter("edge").select(*cols).withColumn("ahead", ahead)
@@ -498,7 +511,7 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
     links = temporary(similar_links(tried, docs, width, similarity, tasks))
     groups = temporary(components(links, tasks=tasks), "similar-groups")
     first = Staged(prefixes(docs, width, similarity), "first-shingles")
-    rows = neighbours(first.read(), temporary)
+    rows = neighbours(first.read(), temporary, SLICES if first.read().count() > SLICED else 1)
     first.drop()
     ends = _pairs(rows, similarity)
     for x in "ab":  # links within a group have nothing to add
@@ -513,7 +526,7 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
     rows = _celled(rows, similarity)
     many = temporary(_many(rows), "many-texts")
     families = temporary(_families(rows, many, tasks), "families")
-    links = links.unionByName(temporary(family_links(families, docs, width, similarity, temporary, tasks), "family-links"))
+    links = links.unionByName(family_links(families, docs, width, similarity, temporary, tasks))
     # those of one family have been compared, so no shingle of many texts is left here
     rows = rows.join(many, ["token", "cell"], "left_anti").join(families.select("node", "cell", "family"), ["node", "cell"], "left")
     sides = [rows.select("token", "cell", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "size", "pos", "component", "class", "family")]) for x in "ab"]
@@ -533,6 +546,8 @@ def similar_nodes(df: DataFrame, *, similarity: float = 0.8, width: int = 5, lim
 FEW = 100
 #: Shingles of all texts in a block.
 BLOCK_SHINGLES = 1 << 20
+#: Bytes of hashes that a round of blocks shuffles, or a quarter of the families' hashes, if that is more.
+ROUND = 1 << 28
 
 
 def _celled(rows: DataFrame, similarity: float) -> DataFrame:
@@ -623,7 +638,8 @@ def family_links(families: DataFrame, docs: DataFrame, width: int, similarity: f
     """(a, b): links with the similarity within families that hold their different groups together.
 
     A family is compared in pairs of blocks, each its own task's work: what is shuffled is a text's hashes, once for each
-    block, and what comes out is a forest of each pair of blocks, never the pairs of texts."""
+    block, and what comes out is a forest of each pair of blocks, never the pairs of texts. As this grows with the square of a family,
+    the pairs of blocks are taken in rounds, and the shuffle files of each go before the next."""
     texts = _texts_of(families, docs, "family-texts", tasks)
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -643,7 +659,14 @@ def family_links(families: DataFrame, docs: DataFrame, width: int, similarity: f
         links = _similar_forest([np.frombuffer(x.as_buffer(), np.uint64) for x in cell.column("hashes")], component, mine, similarity)
         return pa.table([pa.array([int(node[x[k]]) for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return cells.groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
+    once, sent = (x.agg(F.sum(8 * F.col("size")).alias("n")).first()["n"] or 0 for x in (sets, members))
+    rounds = max(1, -(-sent // max(ROUND, once // 4)))
+    found = None
+    for k in range(rounds):
+        own = cells.filter(F.pmod(F.xxhash64("family", "i", "j"), F.lit(rounds)) == k) if rounds > 1 else cells
+        part = temporary(own.groupBy("family", "i", "j").applyInArrow(run, "a long, b long"), "family-links")
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def _mixed(rows: DataFrame, groups: DataFrame) -> DataFrame:

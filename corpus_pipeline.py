@@ -68,7 +68,10 @@ STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("personal
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
-        docs = Staged(stage(spark, docs, sf_dir), f"pipeline-{name}").read()
+        held = Staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:  # its rows have been read
+            before.drop()
+        docs, before = held.read(), held
     return STAGES[-1][1](spark, docs, sf_dir)

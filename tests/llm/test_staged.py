@@ -1,4 +1,5 @@
 import os
+import random
 import time
 
 from pyspark.sql import functions as F
@@ -67,3 +68,54 @@ def test_stages_give_few_pieces(spark, tmp_path):
     names = [x for x in os.listdir(tmp_path / "mixed") if x.startswith("part-")]
     assert 0 < len(names) <= C.tasks_for(docs) < 61
     assert spark.read.parquet(str(tmp_path / "mixed")).count() == 2000
+
+
+def test_first_shingles_are_put_in_order_in_parts(spark):
+    """The rows of the whole; each part is its own write, whose shuffle files go before the next."""
+    rows = spark.range(6000).select(F.xxhash64(F.col("id") % 500).alias("token"), F.col("id").alias("node"), (F.col("id") % 90).cast("int").alias("size"), F.lit(1).alias("pos"))
+    found, made = [], []
+    for slices in (1, 4):
+        made.append([])
+        table = lambda df, name: made[-1].append(C.Staged(df, name)) or made[-1][-1].read()  # noqa: B023, E731
+        got = S.neighbours(rows, table, slices)
+        links = {tuple(r) for r in got.filter("n_node is not null").select("token", "node", "n_node", "n_size").collect()}
+        found.append((links, {tuple(r) for r in got.select("token", "node").collect()}))  # a range lists its ends again
+    assert found[0] == found[1] and len(found[0][1]) == 6000
+    assert len(found[0][0]) == 6000 - 500
+    tokens = [{r[0] for r in t.read().select("token").distinct().collect()} for t in made[1]]
+    assert len(made[0]) == 1 and sum(map(len, tokens)) == 500 == len(set.union(*tokens)) and 0 < min(map(len, tokens)) and len(tokens) == 4
+
+
+def test_families_are_compared_in_rounds(spark, monkeypatch):
+    """What a round shuffles does not grow with the square of a family."""
+    from test_simhash import jaccard_groups, variants
+
+    made, rows = [], variants(random.Random(2), 150, 4)
+    init = C.Staged.__init__
+    monkeypatch.setattr(C.Staged, "__init__", lambda self, df, name: (init(self, df, name), made.append(name))[0])
+    for name, value in (("BLOCK_SHINGLES", 3_000), ("FEW", 8), ("ROUND", 1_000), ("SLICED", 100)):
+        monkeypatch.setattr(S, name, value)
+    got = dict(map(tuple, S.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == jaccard_groups(rows)
+    assert made.count("family-links") > 4 and made.count("neighbours") == 1 + S.SLICES
+
+
+def test_copies_do_not_make_a_shingle_common(spark):
+    copies = [(1, "one text of seven words for all")] * 40
+    shared = [(10 + k, f"a line that ten texts have {k}") for k in range(10)]
+    hashes, counts = S.common_shingles(spark.createDataFrame(copies + shared, "node long, text string"), 5)
+    assert set(hashes.tolist()) == {int(x) for x in S._set_hashes("a line that ten texts have", 5)} and set(counts.tolist()) == {10}
+
+
+def test_run_deletes_the_stages_that_it_has_read(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    live, most = set(), []
+    init, drop = C.Staged.__init__, C.Staged.drop
+    monkeypatch.setattr(C.Staged, "__init__", lambda self, df, name: (init(self, df, name), name.startswith("pipeline-") and (live.add(self.path), most.append(len(live))))[0])
+    monkeypatch.setattr(C.Staged, "drop", lambda self: (drop(self), live.discard(self.path))[0])
+    same = lambda spark, docs, sf_dir: docs
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(f"s{k}", same) for k in range(5)])
+    spark.range(50).withColumnRenamed("id", "doc_id").write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 50
+    assert most == [1, 2, 2, 2]
